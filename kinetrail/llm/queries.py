@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrail.llm import byte_bpe, license_scan, line_dedup, quality_classifier, quality_rules
+from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, quality_classifier, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +33,32 @@ FROM docs d LEFT JOIN joined j USING (rid)
 """
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one whose texts hold control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id bigint, turn bigint, role string, text string")
+    turns = _table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    return chat_format.read_back(chat_format.build(turns.unionByName(extra)))
+
+
+OP2_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+),
+shown AS (
+  SELECT *, replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[INST]', '&lsqb;INST]'), '[/INST]', '&lsqb;/INST]') AS r,
+    replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[INST]', '&lsqb;INST]'), '[/INST]', '&lsqb;/INST]') AS t FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|turn|>' || r || '<|body|>' || t || '<|end|>'))::BIGINT AS formatted_chars
+FROM shown GROUP BY conv_id
+"""
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(_table(spark, sf_dir, "documents").select("doc_id", "text"), keep=("doc_id",))
 
@@ -70,12 +96,19 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), ("doc_id",))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.leaks(docs, items)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_chat_format": op2_chat_format,
     "op5_quality_rules": op5_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op8_license_scan": _op8_sql()}
+ORACLE_SQL: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op2_chat_format": OP2_SQL, "op8_license_scan": _op8_sql()}
