@@ -4,8 +4,9 @@ Texts and items are word sequences (runs of ASCII letters, digits and non-ASCII
 An item of n words is leaked by a document when one of the document's windows of n words is at most
 floor(``edit_share`` * n) word insertions, deletions and substitutions away from it.
 
-1. Windows that cannot be that close are passed over: within e edits a window shares n - e words with the item as a bag.
-   This bound loses nothing. It is applied for the words of all items first, then item by item.
+1. Windows that cannot be that close are passed over: within e edits a window shares n - e words with the item, each at most
+   e places away. This bound loses nothing. It is applied to the words of all items first, then to each item's words as a
+   bag, then with places.
 2. The CGK random walk embeds the windows left: at step j the walk writes the word it stands on and moves on if the random
    bit of (repeat, j, word) is set. Small edit distance becomes small Hamming distance.
 3. Bit-sampling LSH: each repeat hashes the symbols at a few sampled steps; a window meets an item in any equal key. The
@@ -63,26 +64,49 @@ def normal_words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return c.SpanHasher(small)(starts, ends), first
 
 
-def walk(symbols: np.ndarray, starts: np.ndarray, n: int, steps: np.ndarray, repeat: int) -> np.ndarray:
-    """Symbols at the sampled ``steps`` of one repeat's CGK walks over the windows of n symbols; 0 beyond the end."""
-    at = np.zeros(len(starts), np.int64)
-    out = np.zeros((len(starts), len(steps)), np.uint64)
-    wanted = {int(s): [i for i, x in enumerate(steps) if x == s] for s in steps}
-    for j in range(int(steps.max()) + 1):
-        inside = at < n
-        here = np.where(inside, symbols[np.minimum(starts + at, len(symbols) - 1)], 0)
-        for i in wanted.get(j, ()):
-            out[:, i] = here
-        salt = np.uint64(((repeat * 1_000_003 + j) * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & ((1 << 64) - 1))
-        at += ((c.mix(here ^ salt) >> np.uint64(17)) & np.uint64(1)).astype(np.int64) & inside
-    return out
-
-
-def _keys(sampled: np.ndarray) -> np.ndarray:
-    key = np.full(len(sampled), 0x51ED270B, np.uint64)
-    for i in range(sampled.shape[1]):
-        key = c.mix(key * np.uint64(0x9FB21C651E98DF25) + sampled[:, i])
-    return key
+def walk_keys(windows: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """LSH keys by repeat and window: each repeat walks over every row of ``windows`` and hashes the symbols that stand at its
+    row of ``steps``; beyond the end stands 0."""
+    repeats, samples = steps.shape
+    n, last = windows.shape[1], int(steps.max()) + 1
+    salts = _salts(repeats, last)
+    keys = np.empty((repeats, len(windows)), np.uint64)
+    for block in range(0, len(windows), 128):
+        part = windows[block : block + 128]
+        flat = np.zeros((len(part), n + 1), np.uint64)
+        flat[:, :n] = part
+        flat = flat.ravel()
+        base = np.arange(len(part)) * (n + 1)
+        at = np.tile(base, (repeats, 1))
+        stop = np.tile(base + n, (repeats, 1))
+        seen = np.empty((last, repeats, len(part)), np.uint64)
+        for j in range(last):
+            here = seen[j] = flat[at]
+            at += (((here ^ salts[:, j : j + 1]) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(63)).astype(np.int64)
+            np.minimum(at, stop, out=at)
+        key = np.full((repeats, len(part)), 0x51ED270B, np.uint64)
+        rows = np.arange(repeats)
+        for i in range(samples):
+            key = c.mix(key * np.uint64(0x9FB21C651E98DF25) + seen[steps[:, i], rows])
+        keys[:, block : block + 128] = key
+    return keys
+
+
+def _salts(repeats: int, steps: int) -> np.ndarray:
+    return c.mix(np.arange(1, repeats + 1, dtype=np.uint64)[:, None] * np.uint64(1_000_003) + np.arange(steps, dtype=np.uint64))
+
+
+def banded_matches(windows: np.ndarray, items: np.ndarray, e: int) -> np.ndarray:
+    """For each window, the words that the item has at most e places away, or the words of the item that the window has
+    so, whichever are fewer."""
+    n = windows.shape[1]
+    found, back = np.zeros(windows.shape, bool), np.zeros(windows.shape, bool)
+    for shift in range(-min(e, n - 1), min(e, n - 1) + 1):
+        low, high = max(0, -shift), min(n, n - shift)
+        same = windows[:, low:high] == items[:, low + shift : high + shift]
+        found[:, low:high] |= same
+        back[:, low + shift : high + shift] |= same
+    return np.minimum(found.sum(axis=1), back.sum(axis=1))
 
 
 def edit_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -118,24 +142,22 @@ class ItemIndex:
         self.maybe = np.zeros(1 << 18, bool)
         self.maybe[(self.vocabulary >> np.uint64(46)).astype(np.int64)] = True
         shared = [int((self.single[np.searchsorted(self.vocabulary, s)] == -1).sum()) for s in sequences]
+        #: the vocabulary places of each item's words
+        self.places = [np.unique(np.searchsorted(self.vocabulary, s)) for s in sequences]
         #: items that windows without any word of their own could be close to
         self.common = {k for k, s in enumerate(sequences) if shared[k] >= len(s) - policy.edits(len(s))}
         random = np.random.default_rng(policy.seed)
         self.steps, self.tables = {}, {}
         for n, members in sorted(self.by_length.items()):
             self.steps[n] = self._plan(n, members, random)
-            stacked = np.concatenate([sequences[k] for k in members])
-            starts = np.arange(len(members)) * n
-            self.tables[n] = []
-            for repeat, steps in enumerate(self.steps[n]):
-                keys = _keys(walk(stacked, starts, n, steps, repeat))
-                order = np.argsort(keys)
-                self.tables[n].append((keys[order], np.array(members)[order]))
-
-    def _plan(self, n: int, members: list[int], random: np.random.Generator) -> list[np.ndarray]:
+            keys = walk_keys(np.stack([sequences[k] for k in members]), self.steps[n])
+            order = np.argsort(keys, axis=1)
+            self.tables[n] = (np.take_along_axis(keys, order, 1), np.array(members)[order])
+
+    def _plan(self, n: int, members: list[int], random: np.random.Generator) -> np.ndarray:
         """Sampled steps of as many repeats as the target recall takes for pairs at the largest distance allowed."""
         policy, e = self.policy, self.policy.edits(n)
-        trials, kept = 48, []
+        trials = 48
         base = [self.sequences[members[i % len(members)]] for i in range(trials)]
         left, right = [], []
         for s in base:
@@ -151,29 +173,22 @@ class ItemIndex:
             edited = (edited + [np.uint64(random.integers(1, 1 << 62)) for _ in range(n)])[:n]
             left.append(s)
             right.append(np.array(edited, np.uint64))
-        a, b, starts = np.concatenate(left), np.concatenate(right), np.arange(trials) * n
-        missed = np.ones(trials)
-        seen = 0.0
-        for repeat in range(policy.max_repeats):
-            steps = random.integers(0, max(1, 2 * n), size=policy.samples)
-            kept.append(steps)
-            seen += float((_keys(walk(a, starts, n, steps, repeat)) == _keys(walk(b, starts, n, steps, repeat))).mean())
-            rate = seen / len(kept)
-            missed = (1 - rate) ** len(kept)
-            if e == 0 or (len(kept) >= 4 and missed <= 1 - policy.recall):
-                break
-        return kept
+        steps = random.integers(0, max(1, 2 * n), size=(policy.max_repeats, policy.samples))
+        met = walk_keys(np.stack(left), steps[:40]) == walk_keys(np.stack(right), steps[:40])
+        rate = min(1.0, max(float(met.mean()), 1e-3))
+        repeats = 1 if rate == 1 else int(np.ceil(np.log(1 - policy.recall) / np.log(1 - rate)))
+        return steps[: max(1, min(policy.max_repeats, repeats))]
 
     def find(self, symbols: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(text, item, edits, start word, words) of the leaks in a chunk of texts, the best window of each text and item."""
         if not len(self.vocabulary) or not len(symbols):
             return []
-        mine = np.full(len(symbols), -3, np.int64)
+        known_as = np.full(len(symbols), len(self.vocabulary), np.int64)
         at = np.flatnonzero(self.maybe[(symbols >> np.uint64(46)).astype(np.int64)])
         place = np.minimum(np.searchsorted(self.vocabulary, symbols[at]), len(self.vocabulary) - 1)
         real = self.vocabulary[place] == symbols[at]
-        mine[at[real]] = self.single[place[real]]
-        known = np.concatenate([[0], np.cumsum(mine > -3)])
+        known_as[at[real]] = place[real]
+        known = np.concatenate([[0], np.cumsum(known_as < len(self.vocabulary))])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         text = c.owners(first)
         for n in self.by_length:
@@ -184,35 +199,41 @@ class ItemIndex:
             windows = np.flatnonzero(known[n:] - known[:-n] >= need)
             windows = windows[text[windows] == text[windows + n - 1]]
             if len(windows):
-                self._verify(symbols, first, text, mine, n, windows, best)
+                self._verify(symbols, first, text, known_as, n, windows, best)
         return [(t, k, *best[t, k]) for t, k in sorted(best)]
 
-    def _verify(self, symbols, first, text, mine, n, windows, best) -> None:
+    def _verify(self, symbols, first, text, known_as, n, windows, best) -> None:
         e = self.policy.edits(n)
         # the words of the candidate windows, packed together; windows keep their places by an offset
         region = np.flatnonzero(c.covered(windows, n, len(symbols)))
-        packed = mine[region]
+        packed = known_as[region]
         start = np.searchsorted(region, windows)
-        shared = np.concatenate([[0], np.cumsum(packed == -1)])
-        common = shared[start + n] - shared[start]
-        present = set(np.unique(packed[packed >= 0]).tolist()) | self.common
-        hits: dict[int, np.ndarray] = {}
+        holders = np.append(self.single, -3)[packed]
+        present = set(np.unique(holders[holders >= 0]).tolist()) | self.common
+        mine = np.zeros(len(self.vocabulary) + 1, bool)
+        allowed: dict[int, set[int]] = {}
+        wide = np.arange(n)
         for k in self.by_length[n]:
             if k in present:
-                own = np.concatenate([[0], np.cumsum(packed == k)])
-                near = common + own[start + n] - own[start] >= n - e
-                if near.any():
-                    hits[k] = windows[near]
-        if not hits:
+                mine[self.places[k]] = True
+                own = np.concatenate([[0], np.cumsum(mine[packed])])
+                mine[self.places[k]] = False
+                near = windows[own[start + n] - own[start] >= n - e]
+                for block in range(0, len(near), 8192):
+                    part = near[block : block + 8192]
+                    close = part[banded_matches(symbols[part[:, None] + wide], self.sequences[k][None, :], e) >= n - e]
+                    if len(close):
+                        allowed.setdefault(k, set()).update(close.tolist())
+        if not allowed:
             return
-        starts = np.unique(np.concatenate(list(hits.values())))
-        allowed = {k: set(v.tolist()) for k, v in hits.items()}
+        starts = np.array(sorted(set().union(*allowed.values())))
+        shown = symbols[starts[:, None] + wide]
         met: set[tuple[int, int]] = set()
-        for repeat, (steps, (keys, holders)) in enumerate(zip(self.steps[n], self.tables[n], strict=True)):
-            probe = _keys(walk(symbols, starts, n, steps, repeat))
-            low, high = np.searchsorted(keys, probe, "left"), np.searchsorted(keys, probe, "right")
+        keys, holders = self.tables[n]
+        for probe, known, owner in zip(walk_keys(shown, self.steps[n]), keys, holders, strict=True):
+            low, high = np.searchsorted(known, probe, "left"), np.searchsorted(known, probe, "right")
             for w in np.flatnonzero(high > low):
-                for k in holders[low[w] : high[w]].tolist():
+                for k in owner[low[w] : high[w]].tolist():
                     if int(starts[w]) in allowed.get(k, ()):
                         met.add((k, int(starts[w])))
         if not met:
@@ -266,7 +287,7 @@ def _scan(shared, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column("text")):
+            for i, j, buf, offsets in c.byte_chunks(batch.column("text"), 4 << 20):
                 symbols, first = normal_words(buf, offsets)
                 found: dict[int, list] = defaultdict(list)
                 for t, item, edits, start, n in index.find(symbols, first):
