@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, quality_classifier, quality_rules
+from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, lm_scoring, quality_classifier, quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,13 @@ def _part(column: str, parts: int) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")), F.lit(parts))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm_scoring.fit(docs, _part("doc_id", 7) != 2)
+    scored = lm_scoring.score(docs, model, keep=("doc_id",))
+    return scored.withColumn("held_out", _part("doc_id", 7) == 2)
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels").select("doc_id", "quality")
     model = quality_classifier.fit(docs, labels, _part("doc_id", 5) != 0)
@@ -105,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_chat_format": op2_chat_format,
     "op5_quality_rules": op5_quality_rules,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_license_scan": op8_license_scan,
     "op9_byte_bpe": op9_byte_bpe,
