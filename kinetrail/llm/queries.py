@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, lm_scoring, minhash_dedup, quality_classifier, quality_rules
+from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, lm_scoring, minhash_dedup, quality_classifier, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,10 @@ FROM shown GROUP BY conv_id
 """
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"), digests=True)
+
+
 def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.classify(_table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id")
 
@@ -115,6 +119,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_chat_format": op2_chat_format,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_minhash_dedup": op4_minhash_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_lm_scoring": op6_lm_scoring,
