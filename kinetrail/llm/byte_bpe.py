@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,13 +91,14 @@ def decode(tokens: DataFrame, ids: str = "ids", into: str = "bytes", ranks: str
     return tokens.withColumn(into, raw(tokens[ids]))
 
 
-def round_trip(docs: DataFrame, keep: tuple[str, ...], text: str = "text", ranks: str | None = None, pattern: str | None = None) -> DataFrame:
-    """Columns ``keep``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, encoded and decoded in one pass so that ids need not leave the worker."""
+def round_trip(docs: DataFrame, keep: tuple[str, ...], text: str = "text", ranks: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Columns ``keep``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, encoded and decoded in one pass; ``ids`` too if asked for."""
     from hashlib import sha256
 
     path, pat = (ranks, pattern) if ranks else default_vocabulary()
     schema = T.StructType(
         [docs.schema[x] for x in keep] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
+        + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
     )
     held = "__text__"
     source = docs.select(*[docs[x] for x in keep], docs[text].alias(held))
@@ -105,15 +107,18 @@ def round_trip(docs: DataFrame, keep: tuple[str, ...], text: str = "text", ranks
         encoder = encoding(path, pat)
         numerals = [str(i) for i in range(encoder.max_token_value + 1)]
         for batch in batches:
-            made: list[list] = [[], [], []]
+            made: list[list] = [[], [], [], []]
             for value in batch.column(held):
                 ids = encode_text(encoder, value.as_py())
                 made[0].append(len(ids))
                 made[1].append(sha256(",".join([numerals[i] for i in ids]).encode()).hexdigest())
                 made[2].append(sha256(encoder.decode_bytes(ids)).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in keep), pa.array(made[0], pa.int64()), pa.array(made[1], pa.string()), pa.array(made[2], pa.string())],
-                names=schema.names,
-            )
+                if with_ids:
+                    made[3].append(np.array(ids, np.int32))
+            columns = [*(batch.column(k) for k in keep), pa.array(made[0], pa.int64()), pa.array(made[1], pa.string()), pa.array(made[2], pa.string())]
+            if with_ids:
+                cuts = np.concatenate([[0], np.cumsum(made[0])]).astype(np.int32)
+                columns.append(pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate([np.empty(0, np.int32), *made[3]]))))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return source.mapInArrow(run, schema)
