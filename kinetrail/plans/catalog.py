@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from kinetrail.plans import tables, trajectory
+
+QUERIES = {**trajectory.QUERIES, **tables.QUERIES}
+ORACLE_SQL = {**trajectory.ORACLE_SQL, **tables.ORACLE_SQL}
