@@ -72,10 +72,10 @@ def balanced_sample(rows: DataFrame, group: str, key: str, total: int, seed: str
     """The same quota from each group, groups with the least hashes one more for the remainder; rows by hash, wrapping round a
     group that is too small. ``draw`` numbers the draws of a group. The quota is the feature here; groups' sizes and ranks are windows."""
     groups = rows.groupBy(group).agg(F.count(F.lit(1)).alias("size"))
-    count = groups.agg(F.count(F.lit(1)).alias("g"))
+    count = groups.agg(F.count(F.lit(1)).alias("__n__"))
     order = Window.orderBy(unit_hash(F.lit(seed), F.lit("group"), F.col(group)), F.col(group))  # one row a group
     quotas = groups.crossJoin(F.broadcast(count)).withColumn("__i__", F.row_number().over(order))
-    quotas = quotas.withColumn("quota", F.floor(F.lit(total) / F.col("g")).cast("bigint") + F.when(F.col("__i__") <= F.lit(total) % F.col("g"), 1).otherwise(0)).select(group, "size", "quota")
+    quotas = quotas.withColumn("quota", F.floor(F.lit(total) / F.col("__n__")).cast("bigint") + F.when(F.col("__i__") <= F.lit(total) % F.col("__n__"), 1).otherwise(0)).select(group, "size", "quota")
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(group).orderBy(unit_hash(F.lit(seed), F.col(group), F.col(key)), F.col(key))) - 1)
     drawn = ranked.join(F.broadcast(quotas), group).where(F.col("rank") < F.col("quota"))
     turns = F.floor((F.col("quota") - 1 - F.col("rank")) / F.col("size")).cast("bigint")
