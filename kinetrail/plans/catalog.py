@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kinetrail.plans import tables, trajectory
+from kinetrail.plans import exports, tables, trajectory
 
-QUERIES = {**trajectory.QUERIES, **tables.QUERIES}
-ORACLE_SQL = {**trajectory.ORACLE_SQL, **tables.ORACLE_SQL}
+QUERIES = {**trajectory.QUERIES, **tables.QUERIES, **exports.QUERIES}
+ORACLE_SQL = {**trajectory.ORACLE_SQL, **tables.ORACLE_SQL, **exports.ORACLE_SQL}

@@ -119,3 +119,21 @@ def test_round_robin(spark):
     rows = spark.range(37).withColumnRenamed("id", "k")
     got = {r.k: r.worker for r in rp.round_robin(rows, ["k"], 4).collect()}
     assert got == {k: k % 4 for k in range(37)}
+
+
+def test_exports(spark):
+    from kinetrail.operators import exports as ex
+
+    assert ex.inverse_channels([2, 0], 4) == [1, 2, 0, 2]
+    with pytest.raises(ValueError):
+        ex.inverse_channels([0, 0], 4)
+    assert one(spark, ex.frame_ids(F.lit(0).cast("bigint"), F.lit(20).cast("bigint"), 2)) == [0, 2, 4, 6, 8, 10, 12, 14, 16]
+    assert one(spark, ex.decoded_frames(F.lit(10))) == 81 and one(spark, ex.decoded_frames(F.lit(114))) == 913
+    segments = spark.createDataFrame([("e", 0, 0, 5, "a", 10), ("e", 1, 4, 8, "b", 10), ("e", 2, 8, 11, "c", 10), ("e", 3, None, 9, "d", 10)], "episode_id string, ordinal int, start long, stop long, text string, n long")
+    assert sorted(r.ordinal for r in ex.segment_problems(segments).collect()) == [1, 2, 3]
+    good = (20.0, 81, 80, [True] * 80, [True] * 80, [True] * 5, "u", 3, "joint_video_action", True)
+    bad = (None, 81, 80, [True] * 80, None, [False] * 5, None, 0, "video_only", True)
+    columns = "target_fps double, state_steps int, action_steps int, state_slot_mask array<boolean>, action_slot_mask array<boolean>, camera_mask array<boolean>, canonical_uri string, start_count int, mode string, action_loss boolean"
+    rows = [r.failures for r in ex.case_failures(spark.createDataFrame([good, bad], columns)).collect()]
+    assert rows[0] == []
+    assert rows[1] == ["action_slot_mask_must_have_80_dimensions", "canonical_parquet_missing", "no_valid_camera_slot", "no_valid_starts", "target_fps_must_be_20", "video_only_must_disable_action_loss"]
