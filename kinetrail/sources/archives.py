@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from kinetrail.shipping import ship
+
 
 def opened(path: str):
     from pyarrow import fs
@@ -73,6 +75,7 @@ class TarSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.dataSource.register(TarSource)
 
 
