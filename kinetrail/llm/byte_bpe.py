@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -70,7 +71,7 @@ def encode(docs: DataFrame, text: str = "text", into: str = "ids", ranks: str |
     path, pat = (ranks, pattern) if ranks else default_vocabulary()
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def ids(batches: Iterator) -> Iterator:
+    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoding(path, pat)
         for batch in batches:
             yield batch.map(lambda x: encode_text(encoder, x))
@@ -83,7 +84,7 @@ def decode(tokens: DataFrame, ids: str = "ids", into: str = "bytes", ranks: str
     path, pat = (ranks, pattern) if ranks else default_vocabulary()
 
     @F.pandas_udf(T.BinaryType())
-    def raw(batches: Iterator) -> Iterator:
+    def raw(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = encoding(path, pat)
         for batch in batches:
             yield batch.map(lambda x: b"" if x is None else encoder.decode_bytes(list(x)))

@@ -75,6 +75,35 @@ def _remove_at_exit(spark: SparkSession, path: str) -> None:
 # --- bytes, words and hashes -------------------------------------------------------------------
 
 
+def carried(docs: DataFrame, kept: list[str], text: str):
+    """docs with the columns ``kept`` and the text, which travels once, and the function that takes it from a batch.
+
+    text may be the name of a column or, as top.field, of a field of a kept column."""
+    top, _, field = text.partition(".")
+    if text in kept:
+        return docs.select(*[docs[x] for x in kept]), lambda batch: batch.column(text)
+    if field and text not in docs.columns and top in kept:
+        return docs.select(*[docs[x] for x in kept]), lambda batch: pc.struct_field(batch.column(top), field)
+    held = "__text__"
+    while held in kept:
+        held += "_"
+    return docs.select(*[docs[x] for x in kept], docs[text].alias(held)), lambda batch: batch.column(held)
+
+
+_TRIM: list = []
+
+
+def release() -> None:
+    """Gives memory that Arrow and the allocator hold for later back to the system: workers live long and share a budget."""
+    pa.default_memory_pool().release_unused()
+    if not _TRIM:
+        import ctypes
+
+        _TRIM.append(getattr(ctypes.CDLL(None), "malloc_trim", None))
+    if _TRIM[0] is not None:
+        _TRIM[0](0)
+
+
 def byte_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """Rows [i, j) of a string column as (i, j, bytes, offsets): about ``limit`` bytes each, always whole texts.
 
@@ -92,6 +121,8 @@ def byte_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, i
         j = min(n, max(i + 1, int(np.searchsorted(offsets, offsets[i] + limit, "right")) - 1))
         yield i, j, data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
         i = j
+    del column, data, buffers
+    release()
 
 
 def spans_where(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -164,6 +195,19 @@ class SpanHasher:
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
+def gram_hashes(hasher: SpanHasher, n: int) -> np.ndarray:
+    """Hashes of all n-byte substrings of the hasher's buffer."""
+    m = len(hasher.sums) - n
+    if m <= 0:
+        return np.empty(0, np.uint64)
+    out = hasher.sums[n:] - hasher.sums[:m]
+    out *= hasher.inverse[:m]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0xD6E8FEB86659FD93)
+    out ^= out >> np.uint64(32)
+    return out
+
+
 def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the windows of n consecutive values; len(hashes) - n + 1 of them."""
     m = len(hashes) - n + 1
@@ -178,12 +222,12 @@ def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
 
 def window_rows(first: np.ndarray, n: int, m: int) -> np.ndarray:
     """Which of the m windows of n values lie inside one text; first: each text's first value."""
-    inside = np.zeros(m + 1, np.int8)
+    inside = np.zeros(m + 1, np.int8)  # texts do not overlap, so the running sum is 0 or 1
     low, high = first[:-1], np.maximum(first[:-1], first[1:] - n + 1)
     keep = high > low
     np.add.at(inside, low[keep], 1)
     np.add.at(inside, np.minimum(high[keep], m), -1)
-    return np.cumsum(inside[:-1]).astype(bool)
+    return np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
 
 
 def owners(first: np.ndarray) -> np.ndarray:

@@ -292,14 +292,12 @@ def score(docs: DataFrame, model: BigramModel, text: str = "text", keep: tuple[s
     made = [T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(x, T.DoubleType()) for x in ("base_score", "score", "perplexity")]
     names = {x.name for x in made}
     kept = [x for x in (docs.columns if keep is None else keep) if x not in names]
-    held = "__text__"
-    while held in kept:
-        held += "_"
+    source, body = c.carried(docs, kept, text)
     schema = T.StructType([docs.schema[x] for x in kept] + made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column(held), 4 << 20):
+            for i, j, buf, offsets in c.byte_chunks(body(batch), 2 << 20):
                 previous, token, n = tokens(buf, offsets)
                 log, count = model.log10(previous, token)
                 at = np.concatenate([[0], np.cumsum(n)[:-1]])
@@ -312,4 +310,4 @@ def score(docs: DataFrame, model: BigramModel, text: str = "text", keep: tuple[s
                     names=schema.names,
                 )
 
-    return docs.select(*[docs[x] for x in kept], docs[text].alias(held)).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)

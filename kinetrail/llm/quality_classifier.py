@@ -37,6 +37,9 @@ class ClassifierPolicy:
     threshold: float = 0.3
 
 
+_SLICES = 16
+
+
 @dataclass(frozen=True)
 class FoldedModel:
     """score = sigmoid(mean of weights over features + bias)."""
@@ -88,8 +91,15 @@ def fit(docs: DataFrame, labels: DataFrame, usable: Column, text: str = "text",
     chosen = labels.where(usable & labels[label].isNotNull() & labels[key].isNotNull()).select(labels[key].alias("id"), labels[label].cast("int").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("id"), "id", "y").limit(policy.max_examples)
     texts = docs.select(docs[key].alias("id"), docs[text].alias("text")).join(F.broadcast(chosen), "id")
-    rows = _counts(texts, ["id", "y"], "text", policy.buckets).orderBy(F.xxhash64("id"), "id", "y").limit(2 * policy.max_examples).toArrow()
-    examples = [(np.asarray(a.values), np.asarray(n.values), int(y) == 1) for a, n, y in zip(rows["at"], rows["n"], rows["y"].to_pylist(), strict=True) if len(a)]
+    rows = c.staged(_counts(texts, ["id", "y"], "text", policy.buckets).withColumn("slice", F.pmod(F.xxhash64("id"), F.lit(_SLICES))), "examples")
+    examples: list[tuple[np.ndarray, np.ndarray, bool]] = []
+    for k in range(_SLICES):  # the sample reaches the driver slice by slice, so that the JVM holds one at a time
+        part = rows.where(F.col("slice") == k).orderBy(F.xxhash64("id"), "id", "y").limit(2 * policy.max_examples // _SLICES).select("y", "at", "n").toArrow()
+        for at, n, y in zip(part["at"], part["n"], part["y"].to_pylist(), strict=True):
+            if len(at):
+                examples.append((np.array(at.values), np.array(n.values), y == 1))
+        del part
+    c.unstage(docs.sparkSession, rows)
     return train(examples, policy)
 
 
@@ -100,7 +110,7 @@ def train(examples: list[tuple[np.ndarray, np.ndarray, bool]], policy: Classifie
     layer = np.zeros((2, policy.width), np.float32)
     bias = np.zeros(2, np.float32)
     steps, step = max(1, policy.epochs * len(examples)), 0
-    shares = [(at, n / n.sum(), y) for at, n, y in examples]
+    shares = [(at, (n / n.sum()).astype(np.float32), y) for at, n, y in examples]
     for _ in range(policy.epochs):
         for k in random.permutation(len(shares)):
             at, share, y = shares[k]
@@ -123,9 +133,7 @@ def score(docs: DataFrame, model: FoldedModel, text: str = "text", keep: tuple[s
     """docs' columns ``keep`` (all by default) with ``score`` and ``predicted``."""
     policy = policy or ClassifierPolicy()
     kept = [x for x in (docs.columns if keep is None else keep) if x not in ("score", "predicted")]
-    held = "__text__"
-    while held in kept:
-        held += "_"
+    source, body = c.carried(docs, kept, text)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     schema = T.StructType([docs.schema[x] for x in kept] + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
     limit, buckets = policy.threshold, policy.buckets
@@ -133,7 +141,7 @@ def score(docs: DataFrame, model: FoldedModel, text: str = "text", keep: tuple[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         folded = shared.value
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column(held)):
+            for i, j, buf, offsets in c.byte_chunks(body(batch)):
                 bucket, owner = features(buf, offsets, buckets)
                 total = np.bincount(owner, weights=folded.weights[bucket], minlength=j - i)
                 mean = total / np.maximum(np.bincount(owner, minlength=j - i), 1)
@@ -141,4 +149,4 @@ def score(docs: DataFrame, model: FoldedModel, text: str = "text", keep: tuple[s
                 rows = batch.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*(rows.column(k) for k in kept), pa.array(p), pa.array((p >= limit).astype(np.int32))], names=schema.names)
 
-    return docs.select(*[docs[x] for x in kept], docs[text].alias(held)).mapInArrow(run, schema)
+    return source.mapInArrow(run, schema)

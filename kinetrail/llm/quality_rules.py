@@ -91,15 +91,12 @@ def assess(docs: DataFrame, text: str = "text", keep: tuple[str, ...] | None = N
     made = [T.StructField(k, T.LongType()) for k in counted] + [T.StructField(k, T.BooleanType()) for k in ("base_failed", "kept")]
     names = {x.name for x in made}
     kept = [x for x in (docs.columns if keep is None else keep) if x not in names]
-    held = "__text__"
-    while held in kept:
-        held += "_"
-    source = docs.select(*[docs[x] for x in kept], docs[text].alias(held))
+    source, body = c.carried(docs, kept, text)
     schema = T.StructType([docs.schema[x] for x in kept] + made)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column(held)):
+            for i, j, buf, offsets in c.byte_chunks(body(batch)):
                 found = measure(buf, offsets, policy)
                 rows = batch.slice(i, j - i)
                 columns = [rows.column(k) for k in kept]
@@ -115,5 +112,5 @@ def accepted(docs: DataFrame, text: str = "text", policy: RepetitionPolicy | Non
     Columns of docs that bear a measure's name keep their own values: the verdict travels beside the row as a whole."""
     from pyspark.sql import functions as F
 
-    row = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[text].alias("text"))
-    return assess(row, "text", ("row",), policy).where("kept").select("row.*")
+    row = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"))
+    return assess(row, f"row.{text}", ("row",), policy).where("kept").select("row.*")

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetrail.llm import byte_bpe, chat_format, decontaminate, license_scan, line_dedup, lm_scoring, minhash_dedup, quality_classifier, quality_rules, suffix_dedup
+from kinetrail.shipping import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
