@@ -1,7 +1,7 @@
 """Supervised subword embeddings for text quality.
 
-A text is the mean of learned vectors of its features: words, and character 3- and 4-grams of its bytes, hashed into
-``buckets``. A softmax layer on that mean gives the probabilities of the two labels. Vectors and layer are trained together
+A text is the mean of learned vectors of its features: words, pairs of neighbouring words, and character 3- and 4-grams of its
+bytes, hashed into ``buckets``. A softmax layer on that mean gives the probabilities of the two labels. Vectors and layer are trained together
 by stochastic gradient descent in numpy on a sample of labelled rows of bounded size (``max_examples``), gathered as feature
 counts; the labelled ids of the sample are those with the least hashes, so the sample is the same in every run. Scoring reads
 every whole text once, without a shuffle: the folded model is one number a bucket.
@@ -52,7 +52,12 @@ def features(buf: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.nda
     """Bucket and text of every feature."""
     starts, ends, first = c.words(buf, offsets)
     shift = np.uint64(64 - (buckets.bit_length() - 1))
-    found, texts = [(c.SpanHasher(buf)(starts, ends) >> shift).astype(np.int64)], [c.owners(first)]
+    word, owner = c.SpanHasher(buf)(starts, ends), c.owners(first)
+    found, texts = [(word >> shift).astype(np.int64)], [owner]
+    near = np.flatnonzero(owner[1:] == owner[:-1])
+    # pairs of neighbours are hashed by their difference, so that every word that stands twice running is one feature
+    found.append((c.mix((word[near + 1] ^ word[near]) + np.uint64(2)) >> shift).astype(np.int64))
+    texts.append(owner[near])
     wide = buf.astype(np.uint64)
     lengths = np.diff(offsets)
     for n in (3, 4):
