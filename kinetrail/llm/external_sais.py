@@ -176,33 +176,46 @@ def _induce_wide(text: np.ndarray, sigma: int, seeds: np.ndarray, memory: int) -
             induced = np.concatenate(rounds)
             out.push(induced)
             return hand_on(np.concatenate([induced, mine]), high, limit)
-        # keys of the suffixes inside the range: (character, kind), then those of the suffix they were induced from
         base = np.concatenate([drained, mine])
-        tags = np.repeat([0, 2], [len(drained), len(mine)])
-        levels = [(base, np.stack([text[base], tags, np.concatenate([np.arange(len(drained)), np.arange(len(mine))])]))]
-        now, keys, strict = base, levels[0][1], tags == 2
+        strict = np.repeat([False, True], [len(drained), len(mine)])
+        kinds, parents, levels = [np.where(strict, 2, 0)], [np.arange(len(base))], [base]
+        now, first = base, 0
         while len(now):
             before = np.maximum(now - 1, 0)
             ch, own = text[before], text[now]
             at = np.flatnonzero((now > 0) & (ch < high) & np.where(strict, ch > own, ch >= own))
             if not len(at):
                 break
-            if len(levels) > 8:
+            if len(levels) > 48:
                 middle = (low + high) // 2
                 left = work(low, middle, drained[text[drained] < middle], limit)
                 inner = text[left] < high
                 return np.concatenate([left[~inner], work(middle, high, np.concatenate([drained[text[drained] >= middle], left[inner]]), limit)])
+            parents.append(first + at)
+            first += len(now)
             now = before[at]
-            keys = np.concatenate([np.stack([ch[at], np.ones(len(at), np.int64)]), keys[:, at]])
             strict = np.zeros(len(at), bool)
-            levels.append((now, keys))
-        depth = levels[-1][1].shape[0]
-        every = np.concatenate([p for p, _ in levels])
-        table = np.concatenate([np.pad(k, ((0, depth - k.shape[0]), (0, 0))) for _, k in levels], axis=1)
-        order = np.lexsort(table[::-1])
-        is_seed = np.concatenate([tags == 2, np.zeros(len(every) - len(base), bool)])
+            kinds.append(np.ones(len(at), np.int64))
+            levels.append(now)
+        every, kind, parent = np.concatenate(levels), np.concatenate(kinds), np.concatenate(parents)
+        # a suffix ranks by its character, how it came (drained, induced here, seed) and the rank of what it was induced from; the latter
+        # ranks are right to a depth of one more suffix in each turn
+        count = len(every)
+        top = ((text[every] - low) * 3 + kind) * count
+        top[: len(base)] += np.arange(len(base))  # what came in keeps the order it came in
+        parent = parent[len(base) :]
+        rank, order = np.arange(count), np.arange(count)
+        while True:
+            key = top.copy()
+            key[len(base) :] += rank[parent]
+            order = np.argsort(key)
+            new = np.empty(count, np.int64)
+            new[order] = np.arange(count)
+            if np.array_equal(new, rank):
+                break
+            rank = new
         ordered = every[order]
-        out.push(ordered[~is_seed[order]])
+        out.push(ordered[kind[order] != 2])
         return hand_on(ordered, high, limit)
 
     for k in range(ranges):
@@ -275,16 +288,20 @@ def order_wide(text: np.ndarray, sigma: int, memory: int = MEMORY) -> np.ndarray
 
 
 def _common(text: np.ndarray, left: np.ndarray, right: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of pairs of suffixes."""
+    """Common prefixes of pairs of suffixes, eight bytes or as many wider characters as fit in eight bytes at a step."""
+    size = text.dtype.itemsize
+    chars = 8 // size
+    padded = np.concatenate([text, np.zeros(chars, text.dtype)])  # the ending 0 occurs once, so no pair gets beyond it
+    word = np.lib.stride_tricks.as_strided(padded, (len(text), chars), (size, size)).copy().view(np.uint64).ravel()
     out = np.zeros(len(left), np.int64)
     going = np.arange(len(left))
-    step = np.arange(8)
     last = len(text) - 1
     while len(going):
-        same = text[np.minimum(left[going, None] + out[going, None] + step, last)] == text[np.minimum(right[going, None] + out[going, None] + step, last)]
-        equal = np.where(same.all(axis=1), 8, np.argmin(same, axis=1))
+        apart = word[np.minimum(left[going] + out[going], last)] ^ word[np.minimum(right[going] + out[going], last)]
+        low = (apart & (~apart + np.uint64(1))).astype(np.float64)  # the lowest bit that differs
+        equal = np.where(apart == 0, chars, (np.frexp(np.where(apart == 0, 1.0, low))[1] - 1) // (8 * size))
         out[going] += equal
-        going = going[(equal == 8) & (out[going] < cap)]
+        going = going[(equal == chars) & (out[going] < cap)]
     return np.minimum(out, cap).astype(np.uint8)
 
 

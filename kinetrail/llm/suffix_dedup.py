@@ -43,11 +43,11 @@ class SubstringPolicy:
     length: int = 200
     gram: int = 40
     #: bytes of stretches in a shard, about
-    shard_bytes: int = 6 << 20
+    shard_bytes: int = 2 << 20
     #: ids of texts up to which a filter is broadcast
     broadcast_ids: int = 1_500_000
     #: bytes of a queue run in memory before it goes to disk
-    run_memory: int = 64 << 20
+    run_memory: int = 32 << 20
 
 
 def stretches(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -57,17 +57,16 @@ def stretches(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     if n <= 0:
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     hasher = c.SpanHasher(buf)
-    at = np.arange(len(buf) - gram + 1)
-    grams = hasher(at, at + gram)
-    low = np.uint64(0xFFFFFFFF)
-    least = (grams & ~low) | at.astype(np.uint64)
+    grams = c.gram_hashes(hasher, gram)
+    least = grams & np.uint64(0xFFFFFFFF00000000)
+    least |= np.arange(len(grams), dtype=np.uint64)
     wide, span = length - gram + 1, 1
     while span < wide:
         step = min(span, wide - span)
         least = np.minimum(least[:-step], least[step:])
         span += step
     start = np.flatnonzero(c.window_rows(offsets, length, n))
-    anchor = (least[start] & low).astype(np.int64)
+    anchor = least.astype(np.uint32)[start]
     new = np.ones(len(start), bool)
     new[1:] = (anchor[1:] != anchor[:-1]) | (start[1:] != start[:-1] + 1)
     first = np.flatnonzero(new)
@@ -80,12 +79,13 @@ def stretches(buf: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
 def repeated_spans(contents: list[bytes], length: int, memory: int) -> list[list[tuple[int, int]]]:
     """For each content the maximal runs covered by strings of ``length`` bytes that start twice or more among all contents."""
     sizes = np.array([len(x) for x in contents], np.int64)
-    text = np.ones(int(sizes.sum()) + len(contents) + 1, np.int16)  # 1 parts contents, 0 ends the text
+    # UTF-8 has no byte above 0xF4, so bytes plus 2 leave room for 1, which parts contents, and 0, which ends the text
+    text = np.ones(int(sizes.sum()) + len(contents) + 1, np.uint8)
     begin = np.concatenate([[0], np.cumsum(sizes + 1)])
     for b, x in zip(begin, contents, strict=False):
-        text[b : b + len(x)] = np.frombuffer(x, np.uint8).astype(np.int16) + 2
+        text[b : b + len(x)] = np.frombuffer(x, np.uint8) + 2
     text[-1] = 0
-    order, common = suffix_lcp(text, 258, cap=length, memory=memory)
+    order, common = suffix_lcp(text, 247, cap=length, memory=memory)
     left = np.zeros(len(text), np.int64)
     owner = np.repeat(np.arange(len(contents)), sizes + 1)
     left[: len(owner)] = begin[1:][owner] - 1 - np.arange(len(owner))
@@ -108,13 +108,13 @@ def repeated_spans(contents: list[bytes], length: int, memory: int) -> list[list
 def _stretch_rows(policy: SubstringPolicy, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column("text")):
+            for i, j, buf, offsets in c.byte_chunks(batch.column("text"), 1 << 19):
                 text, begin, stop, anchor, content = stretches(buf, offsets, policy.length, policy.gram)
                 if not len(text):
                     continue
-                rows = batch.slice(i, j - i).take(pa.array(text))
+                which = pa.array(text + i)
                 yield pa.RecordBatch.from_arrays(
-                    [rows.column("id"), rows.column("h"), pa.array(begin - offsets[text]), pa.array(stop - begin), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], names=names
+                    [batch.column("id").take(which), batch.column("h").take(which), pa.array(begin - offsets[text]), pa.array(stop - begin), pa.array(anchor.view(np.int64)), pa.array(content.view(np.int64))], names=names
                 )
 
     return run
@@ -138,6 +138,7 @@ def _sorted_shard(policy: SubstringPolicy):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
         found = pa.array([[{"start": a, "stop": b} for a, b in x] for x in spans], kind)
         out = pa.Table.from_arrays([table.column("a"), table.column("c"), found], names=["a", "c", "spans"])
+        c.release()
         return out.filter(pa.array([bool(x) for x in spans]))
 
     return run
