@@ -28,6 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -275,41 +276,42 @@ def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key:
     policy = policy or LeakPolicy()
     spark = docs.sparkSession
     kept = [x for x in docs.columns if x != into]
-    row = "__row__"
-    out = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias(row), docs[text].alias("text"), F.lit(None).cast(T.ArrayType(LEAK)).alias(into))
+    row, found = "__row__", "__found__"
+    out = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias(row), F.array().cast(T.ArrayType(LEAK)).alias(found))
     schema = out.schema
     for index in item_blocks(items, item_key, item_text, policy):
-        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index), into), schema)
-    return out.select(*[F.col(row)[x].alias(x) for x in kept], F.array_sort(F.coalesce(into, F.array().cast(T.ArrayType(LEAK)))).alias(into))
+        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index), text), schema)
+    return out.select(*[F.col(row)[x].alias(x) for x in kept], F.array_sort(found).alias(into))
 
 
-def _scan(shared, into: str):
+def _scan(shared, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = shared.value
         for batch in batches:
-            for i, j, buf, offsets in c.byte_chunks(batch.column("text"), 4 << 20):
+            for i, j, buf, offsets in c.byte_chunks(pc.struct_field(batch.column(0), text), 1 << 20):
                 symbols, first = normal_words(buf, offsets)
-                found: dict[int, list] = defaultdict(list)
+                leaks: dict[int, list] = defaultdict(list)
                 for t, item, edits, start, n in index.find(symbols, first):
-                    found[t].append({"item_id": item, "edits": edits, "start_word": start, "n_words": n})
+                    leaks[t].append({"item_id": item, "edits": edits, "start_word": start, "n_words": n})
                 rows = batch.slice(i, j - i)
-                old = rows.column(into)
-                kind = old.type
-                if found:
-                    merged = [(old[t].as_py() or []) + found.get(t, []) for t in range(j - i)]
-                    old = pa.array(merged, kind)
-                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), old], names=rows.schema.names)
+                old = rows.column(1)
+                if leaks:
+                    old = pa.array([(old[t].as_py() or []) + leaks.get(t, []) for t in range(j - i)], old.type)
+                yield pa.RecordBatch.from_arrays([rows.column(0), old], names=rows.schema.names)
 
     return run
 
 
-def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", **options) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One row for each document and leaked item."""
-    found = with_leaks(docs, items, into="leaks", **options)
-    return found.select(key, F.explode("leaks").alias("leak")).select(key, "leak.*")
+    source = docs.select(docs[key].alias("id"), docs[text].alias("text"))
+    found = with_leaks(source, items, into="leaks", **options)
+    return found.select("id", F.explode("leaks").alias("leak")).select(F.col("id").alias(key), "leak.*")
 
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """The rows of docs that leak no item."""
-    row = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[text].alias("text"))
-    return with_leaks(row, items, into="leaks", **options).where(F.size("leaks") == 0).select("row.*")
+    mark = "leaks"
+    while mark in docs.columns:
+        mark += "_"
+    return with_leaks(docs, items, text=text, into=mark, **options).where(F.size(mark) == 0).drop(mark)
