@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from kinetrail.llm import byte_bpe, decontaminate, line_dedup, minhash_dedup, quality_rules
 from kinetrail.llm.common import staged
+from kinetrail.shipping import ship
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that the repetition rules reject."""
+    ship(spark)
     return quality_rules.accepted(docs.select(*COLUMNS))
 
 
@@ -29,16 +31,19 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of the least id of each class of copies and near copies."""
+    ship(spark)
     return minhash_dedup.representatives(docs.select(*COLUMNS))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
+    ship(spark)
     return decontaminate.clean(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes the texts and decodes them again."""
+    ship(spark)
     return byte_bpe.round_trip(docs, ("doc_id", "lang", "source"), with_ids=True)
 
 
