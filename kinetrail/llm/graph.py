@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinetrail.llm.common import staged, unstage
@@ -21,10 +21,12 @@ def components(links: DataFrame) -> DataFrame:
         offered = both.join(labels.select(F.col("v").alias("b"), F.col("label").alias("offer")), "b").groupBy(F.col("a").alias("v")).agg(F.min("offer").alias("offer"))
         near = labels.join(offered, "v").select("v", F.col("label").alias("was"), F.least("label", "offer").alias("near"))
         jump = labels.select(F.col("v").alias("near"), F.col("label").alias("far"))
-        new = staged(near.join(jump, "near", "left").select("v", "was", F.least("near", F.coalesce("far", "near")).alias("label")), "labels")
-        changed = not new.where("label <> was").isEmpty()
+        seen = Observation()
+        found = near.join(jump, "near", "left").select("v", "was", F.least("near", F.coalesce("far", "near")).alias("label"))
+        new = staged(found.observe(seen, F.count_if(F.col("label") != F.col("was")).alias("changed")), "labels")
         unstage(spark, labels)
-        labels = new
-        if not changed:
+        labels = new.select("v", "label")
+        labels._kinetrail_path = new._kinetrail_path
+        if not seen.get["changed"]:
             unstage(spark, both)
-            return labels.select("v", "label")
+            return labels

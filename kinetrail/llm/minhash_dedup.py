@@ -11,10 +11,12 @@ Improved consistent weighted sampling draws (r, c, beta) for each shingle and ea
 and keeps the shingle and its quantised weight with the least a = c / exp(r (t - beta + 1)); equal samples have the probability of
 weighted Jaccard similarity. ``rows`` samples make a band; texts with an equal band are candidates.
 
-Candidates are verified by exact weighted Jaccard similarity. Classes are connected components of verified links. In each
-bucket of a band the members not yet in the class of a hub are compared with it, with another hub each round, until
-the pairs of a bucket that are still in different classes are few; then all of those are compared. So a bucket costs
-pairs in proportion to its members, and every link between candidates that could join two classes is tested in the end.
+Candidates are verified by exact weighted Jaccard similarity. Classes are connected components of verified links. A bucket of a band
+never emits all its pairs: each member names the ``nearest`` members whose signatures agree most with its own, as long as the agreement is
+within three standard errors of the similarity asked for. Verified links give classes; then only members of different
+classes are paired, eight times as many nearest as before, until no untested pair across classes is left. Buckets of more than
+``bucket_size`` members are dealt out again by further samples, several ways so that near texts still meet, and if those agree too, by
+the hash of the text with one member common to all parts.
 
 Equal texts are one vertex from the start, so copies cost one row a task. Null text is the empty text; texts without words are near
 only to equal texts. class_id is the least doc_id of the class (null if all are null). Repeated rows share a class.
@@ -43,6 +45,11 @@ class NearPolicy:
     bands: int = 15
     common_share: float = 0.05
     common_floor: int = 500
+    nearest: int = 3
+    bucket_size: int = 1500
+    #: ways in which an over-full bucket is dealt out at each level, and levels
+    ways: int = 6
+    levels: int = 6
     #: shingles that a task gathers before it reports what is common among them, and documents at least
     block: int = 1 << 21
     block_docs: int = 256
@@ -206,11 +213,24 @@ def _signatures(policy: NearPolicy, common):
                 cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[some].ravel().view(np.int64)))
                 rows = batch.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([rows.column("v"), rows.column("id"), lists], names=["v", "id", "bands"])
+                short = (c.mix(samples) >> np.uint64(48)).astype(np.uint16)
+                signs = pa.array([x.tobytes() for x in short], pa.binary())
+                yield pa.RecordBatch.from_arrays([rows.column("v"), rows.column("id"), lists, signs], names=["v", "id", "bands", "sign"])
 
     return run
 
 
+def pack(values: np.ndarray) -> bytes:
+    """The upper 40 bits of sorted shingles in five bytes each: two texts of a thousand words mix up a shingle once in a million pairs."""
+    short = values >> np.uint64(24)
+    return short.astype(np.uint32).tobytes() + (short >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def unpack(raw: bytes) -> np.ndarray:
+    n = len(raw) // 5
+    return np.frombuffer(raw, np.uint32, n) | np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def _weighed(policy: NearPolicy, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,7 +242,7 @@ def _weighed(policy: NearPolicy, common):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.slice(i, j - i).column("v"),
-                        pa.array([value[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
+                        pa.array([pack(value[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
                         pa.array([b"" if p else weight[a:b].tobytes() for p, a, b in zip(plain, cut[:-1], cut[1:], strict=True)], pa.binary()),
                     ],
                     names=["v", "s", "w"],
@@ -242,19 +262,81 @@ def weighted_jaccard(s: np.ndarray, w: np.ndarray, t: np.ndarray, x: np.ndarray)
 
 
 def _verify(limit: float):
-    def unpack(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-        values = np.frombuffer(s, np.uint64)
+    def both(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
+        values = unpack(s)
         return values, np.frombuffer(w, np.float32).astype(np.float64) if w else np.ones(len(values))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b, s, w, t, x = (batch.column(k) for k in ("a", "b", "s", "w", "t", "x"))
-            near = [weighted_jaccard(*unpack(s[i].as_py(), w[i].as_py()), *unpack(t[i].as_py(), x[i].as_py())) >= limit for i in range(len(a))]
+            near = [weighted_jaccard(*both(s[i].as_py(), w[i].as_py()), *both(t[i].as_py(), x[i].as_py())) >= limit for i in range(len(a))]
             yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(near))
 
     return run
 
 
+# --- pairs of a bucket ---------------------------------------------------------------------------
+
+
+def agreement(signs: np.ndarray) -> np.ndarray:
+    """Numbers of equal samples of all pairs of rows; for the bounded members of one bucket."""
+    out = np.zeros((len(signs), len(signs)), np.uint8)
+    for k in range(signs.shape[1]):
+        out += signs[:, k, None] == signs[None, :, k]
+    return out
+
+
+def nearest_pairs(signs: np.ndarray, labels: np.ndarray, nearest: int, least: int) -> list[tuple[int, int]]:
+    """Pairs (i, j), i < j, of different labels: for each i the ``nearest`` j that agree most, in ``least`` samples or more."""
+    near = agreement(signs).astype(np.int16)
+    near[labels[:, None] == labels[None, :]] = -1
+    if len(near) > nearest:
+        picked = np.argpartition(-near, nearest - 1, axis=1)[:, :nearest]
+    else:
+        picked = np.tile(np.arange(len(near)), (len(near), 1))
+    i = np.repeat(np.arange(len(near)), picked.shape[1])
+    j = picked.ravel()
+    keep = near[i, j] >= least
+    return sorted({(min(a, b), max(a, b)) for a, b in zip(i[keep].tolist(), j[keep].tolist(), strict=True)})
+
+
+def _bucket_pairs(nearest: int, least: int):
+    def run(table: pa.Table) -> pa.Table:
+        v, label = table.column("v").to_pylist(), table.column("label").to_pylist()
+        order = sorted(range(len(v)), key=v.__getitem__)  # equal members must meet alike in every bucket
+        ids = {x: i for i, x in enumerate(dict.fromkeys(label))}
+        signs = np.stack([np.frombuffer(x, np.uint16) for x in table.column("sign").to_pylist()])[order]
+        pairs = nearest_pairs(signs, np.array([ids[label[i]] for i in order]), nearest, least)
+        return pa.table({"a": pa.array([v[order[i]] for i, _ in pairs], pa.binary()), "b": pa.array([v[order[j]] for _, j in pairs], pa.binary())})
+
+    return run
+
+
+def _bounded(members: DataFrame, policy: NearPolicy) -> DataFrame:
+    """members (bucket, v, sign) with over-full buckets dealt out into bounded ones."""
+    done: DataFrame | None = None
+    for level in range(policy.levels + 1):
+        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("hub")).where(F.col("n") > policy.bucket_size)
+        sizes = c.staged(sizes, "full-buckets")
+        if sizes.isEmpty():
+            return members if done is None else done.unionByName(members)
+        fine = members.join(sizes.select("bucket"), "bucket", "left_anti")
+        done = fine if done is None else done.unionByName(fine)
+        full = members.join(sizes, "bucket")
+        if level < policy.levels:
+            total = policy.rows * policy.bands
+            places = [(level * policy.ways + w) * 7919 % total for w in range(policy.ways)]
+            parts = F.array(*[F.xxhash64("bucket", F.lit(p), F.substring("sign", 2 * p + 1, 2)) for p in places])
+            members = full.select(F.explode(parts).alias("bucket"), "v", "sign")
+            crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+            members = c.staged(members.join(crowded, "bucket"), "members")
+        else:
+            part = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / (policy.bucket_size - 1)))
+            each = F.when(F.col("v") == F.col("hub"), F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / (policy.bucket_size - 1)) - 1)).otherwise(F.array(part))
+            members = full.select("bucket", "v", "sign", F.explode(each).alias("p")).select(F.xxhash64("bucket", "p").alias("bucket"), "v", "sign")
+    return done.unionByName(members)
+
+
 # --- classes -------------------------------------------------------------------------------------
 
 
@@ -276,62 +358,75 @@ def text_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", polic
     spark = docs.sparkSession
     common = spark.sparkContext.broadcast(common_shingles(docs, text, policy))
     source = docs.select(_vertex(docs[text]).alias("v"), docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    schema = "v binary, id " + docs.schema[key].dataType.simpleString() + ", bands array<bigint>"
-    signed = source.mapInArrow(_signatures(policy, common), schema).groupBy("v").agg(F.min("id").alias("id"), F.first("bands").alias("bands"))
+    schema = "v binary, id " + docs.schema[key].dataType.simpleString() + ", bands array<bigint>, sign binary"
+    signed = source.mapInArrow(_signatures(policy, common), schema).groupBy("v").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
     signed = c.staged(signed, "signatures")
-    banded = signed.select("v", "id", F.explode("bands").alias("bucket"))
+    banded = signed.select(F.explode("bands").alias("bucket"), "v")  # signatures stay behind until few rows are left
     crowded = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = c.staged(banded.join(crowded, "bucket"), "members")
-    chosen = members.groupBy("v").agg(F.min("id").alias("id"))
+    close = c.staged(banded.join(crowded, "bucket"), "close")
+    chosen = close.select("v").distinct().join(signed.select("v", "id", "sign"), "v")
+    chosen = c.staged(chosen, "chosen")
+    members = close.join(chosen.select("v", "sign"), "v")
+    chosen = chosen.select("v", "id")
     n = chosen.count()
     if n <= 1_000_000:
         chosen = F.broadcast(chosen)
     texts = source.join(chosen.withColumnRenamed("id", "own"), "v").where(F.col("id").eqNullSafe(F.col("own"))).select("v", "text")
     sets = c.staged(texts.mapInArrow(_weighed(policy, common), "v binary, s binary, w binary").dropDuplicates(["v"]), "sets")
-    members = members.select("bucket", "v")
+    members = _bounded(c.staged(members.select("bucket", "v", "sign"), "members"), policy)
 
+    samples = policy.rows * policy.bands
+    least = int(np.floor(samples * policy.similarity - 3 * np.sqrt(samples * policy.similarity * (1 - policy.similarity))))
+    labels: DataFrame = signed.select("v", F.col("v").alias("label")).limit(0)
     links: DataFrame | None = None
-    labels = signed.select("v", F.col("v").alias("label")).limit(0)
-    turn, few = 0, max(20_000, 2 * n)
+    tested: DataFrame | None = None
+    nearest = policy.nearest
     while True:
-        placed = members.join(labels, "v", "left").select("bucket", "v", F.coalesce("label", "v").alias("label")) if links is not None else members.select("bucket", "v", F.col("v").alias("label"))
-        sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.col("n")).alias("own"))
-        rest = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0] or 0
-        if not rest:
-            break
-        last = rest <= few
-        if last:
-            other = placed.select("bucket", F.col("v").alias("b"), F.col("label").alias("other"))
-            pairs = placed.join(other, "bucket").where(F.col("label") < F.col("other")).select(F.col("v").alias("a"), "b").distinct()
-        else:
-            hubs = placed.groupBy("bucket").agg(F.min(F.struct(F.xxhash64(F.lit(turn), "v").alias("h"), "v", "label")).alias("hub"))
-            pairs = placed.join(hubs, "bucket").where(F.col("label") != F.col("hub.label")).select(F.col("v").alias("a"), F.col("hub.v").alias("b")).distinct()
-        found = c.staged(_links(pairs, sets, policy), "near")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        turn += 1
-        if last:
-            break
-    return labels
+        placed = members if links is None else members.join(labels, "v", "left")
+        placed = placed.select("bucket", "v", "sign", (F.col("v") if links is None else F.coalesce("label", "v")).alias("label"))
+        if links is not None:  # buckets that lie within one class have nothing to add
+            mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+            placed = placed.join(mixed, "bucket", "left_semi")
+        pairs = placed.groupBy("bucket").applyInArrow(_bucket_pairs(nearest, least), "a binary, b binary").distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = c.staged(pairs, "pairs")
+        if pairs.isEmpty() and nearest >= policy.bucket_size:
+            return labels
+        if not pairs.isEmpty():
+            found = c.staged(_links(pairs, sets, policy), "near")
+            links = found if links is None else links.unionByName(found)
+            tested = pairs if tested is None else tested.unionByName(pairs)
+            labels = components(links)
+        nearest *= 8
+
+
+def _members(docs: DataFrame, text: str, key: str, policy: NearPolicy | None) -> DataFrame:
+    """(v, id, label): the least key of each distinct text and the label of its class; made of ids and digests only."""
+    labels = text_classes(docs, text, key, policy)
+    ids = docs.select(docs[key].alias("id"), _vertex(docs[text]).alias("v")).groupBy("v").agg(F.min("id").alias("id"))
+    return c.staged(ids.join(labels, "v", "left").select("v", "id", F.coalesce("label", "v").alias("label")), "class-ids")
 
 
 def classify(docs: DataFrame, text: str = "text", key: str = "doc_id", policy: NearPolicy | None = None) -> DataFrame:
     """docs with ``class_id``, the least ``key`` of the rows whose texts are linked."""
-    labels = text_classes(docs, text, key, policy)
+    ids = _members(docs, text, key, policy)
     kept = [x for x in docs.columns if x != "class_id"]
-    rows = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[key].alias("id"), _vertex(docs[text]).alias("v"))
-    # ids and digests only: texts are not moved to find the classes
-    ids = rows.select("id", "v").groupBy("v").agg(F.min("id").alias("id")).join(labels, "v", "left").select("v", "id", F.coalesce("label", "v").alias("label"))
-    ids = c.staged(ids, "class-ids")
     least = ids.groupBy("label").agg(F.min("id").alias("class_id"))
     named = ids.join(least, "label").select("v", "class_id")
+    rows = docs.select(F.struct(*[docs[x] for x in kept]).alias("row"), _vertex(docs[text]).alias("v"))
     return rows.join(named, "v").select(*[F.col("row")[x].alias(x) for x in kept], "class_id")
 
 
 def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", policy: NearPolicy | None = None) -> DataFrame:
-    """One row of each class, that of the least ``key``; of rows that share key and class the one with the least content."""
-    kept = docs.columns
-    marked = docs.select(F.struct(*[docs[x] for x in kept]).alias("row"), docs[key].alias("id"), docs[text].alias("text"))
-    found = classify(marked, "text", "id", policy).where(F.col("id").eqNullSafe(F.col("class_id")))
-    first = found.withColumn("content", F.to_json("row")).groupBy("id").agg(F.min_by("row", "content").alias("row"))
-    return first.select("row.*")
+    """One row of each class, that of the least ``key`` (null last) and, among texts that share it, the least digest; of equal rows with
+    one key the one with the least content."""
+    ids = _members(docs, text, key, policy)
+    first = ids.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "v")).alias("x")).select("x.v", F.col("x.id").alias("own"))
+    rows = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[key].alias("id"), _vertex(docs[text]).alias("v"))
+    n = ids.count()
+    found = rows.join(F.broadcast(first) if n <= 1_000_000 else first, "v").where(F.col("id").eqNullSafe(F.col("own")))
+    unique = rows.groupBy("v", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
+    if not unique:  # only then texts move
+        found = found.withColumn("content", F.to_json("row")).groupBy("v").agg(F.min_by("row", "content").alias("row"))
+    return found.select("row.*")
