@@ -1,8 +1,11 @@
 """Benchmark decontamination: windows of a text within a bounded edit distance of a benchmark item.
 
 Texts and items are word sequences (runs of ASCII letters, digits and non-ASCII bytes; A-Z and Latin-1 capitals made small).
-An item of n words is leaked by a document when one of the document's windows of n words is at most
-floor(``edit_share`` * n) word insertions, deletions and substitutions away from it.
+An item of n words is leaked by a document when one of the document's windows is at most e = floor(``edit_share`` * n) word
+insertions, deletions and substitutions away from it. With ``any_length``, as the functions below take it unless a policy is given,
+windows of all lengths count (only n - e to n + e words can be that close): every start that step 1 leaves is verified by the
+exact distances of the item to all windows that start there, and nothing is lost. Without it only windows of n words count, and
+steps 2 to 4 find them with the recall asked for.
 
 1. Windows that cannot be that close are passed over: within e edits a window shares n - e words with the item, each at most
    e places away. This bound loses nothing. It is applied to the words of all items first, then to each item's words as a
@@ -49,6 +52,8 @@ class LeakPolicy:
     max_repeats: int = 200
     seed: int = 11
     block_words: int = 1_000_000
+    #: windows of n - e to n + e words, all verified, instead of windows of n words by LSH
+    any_length: bool = False
 
     def edits(self, n: int) -> int:
         return int(self.edit_share * n + 1e-9)
@@ -123,6 +128,30 @@ def edit_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return row[:, -1]
 
 
+def wide_matches(windows: np.ndarray, item: np.ndarray, e: int) -> np.ndarray:
+    """``banded_matches`` of windows that may be longer than the item."""
+    width, n = windows.shape[1], len(item)
+    found, back = np.zeros(windows.shape, bool), np.zeros((len(windows), n), bool)
+    for shift in range(-min(e, n - 1), min(e, width - 1) + 1):
+        low, high = max(0, shift), min(width, n + shift)
+        same = windows[:, low:high] == item[None, low - shift : high - shift]
+        found[:, low:high] |= same
+        back[:, low - shift : high - shift] |= same
+    return np.minimum(found.sum(axis=1), back.sum(axis=1))
+
+
+def prefix_distances(windows: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Levenshtein distances of the item to the first 0, 1, 2, ... symbols of each row."""
+    step = np.arange(windows.shape[1] + 1, dtype=np.int32)
+    row = np.tile(step, (len(windows), 1))
+    for i, symbol in enumerate(item):
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (windows != symbol))
+        row = np.minimum.accumulate(new - step, axis=1) + step
+    return row
+
+
 class ItemIndex:
     """LSH tables of a block of items. Built on the driver, sent to the workers."""
 
@@ -147,8 +176,12 @@ class ItemIndex:
         self.places = [np.unique(np.searchsorted(self.vocabulary, s)) for s in sequences]
         #: items that windows without any word of their own could be close to
         self.common = {k for k, s in enumerate(sequences) if shared[k] >= len(s) - policy.edits(len(s))}
-        random = np.random.default_rng(policy.seed)
+        #: a symbol that no item has, for places beyond the end of a text
+        self.absent = next(x for x in range(len(self.vocabulary) + 1) if x == len(self.vocabulary) or int(self.vocabulary[x]) != x)
         self.steps, self.tables = {}, {}
+        if policy.any_length:
+            return
+        random = np.random.default_rng(policy.seed)
         for n, members in sorted(self.by_length.items()):
             self.steps[n] = self._plan(n, members, random)
             keys = walk_keys(np.stack([sequences[k] for k in members]), self.steps[n])
@@ -192,6 +225,15 @@ class ItemIndex:
         known = np.concatenate([[0], np.cumsum(known_as < len(self.vocabulary))])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         text = c.owners(first)
+        if self.policy.any_length:
+            place, end = np.arange(len(symbols)), first[text + 1]
+            for n in self.by_length:
+                e = self.policy.edits(n)
+                need = max(1, n - e)
+                starts = np.flatnonzero((known[np.minimum(place + n + e, end)] - known[:-1] >= need) & (end - place >= need))
+                if len(starts):
+                    self._verify_lengths(symbols, first, text, known_as, n, starts, best)
+            return [(t, k, *best[t, k]) for t, k in sorted(best)]
         for n in self.by_length:
             m = len(symbols) - n + 1
             if n == 0 or m <= 0:
@@ -252,6 +294,51 @@ class ItemIndex:
                         best[key] = value
 
 
+    def _verify_lengths(self, symbols, first, text, known_as, n, starts, best) -> None:
+        """The best of all windows of n - e to n + e words at each start, which may run up to the end of its text."""
+        e = self.policy.edits(n)
+        need = max(1, n - e)
+        stops = np.minimum(starts + n + e, first[text[starts] + 1])
+        edge = np.zeros(len(symbols) + 1, np.int64)
+        edge[starts] += 1
+        np.subtract.at(edge, stops, 1)
+        region = np.flatnonzero(np.cumsum(edge[:-1]))
+        packed = known_as[region]
+        low = np.searchsorted(region, starts)
+        high = low + stops - starts
+        holders = np.append(self.single, -3)[packed]
+        present = set(np.unique(holders[holders >= 0]).tolist()) | self.common
+        mine = np.zeros(len(self.vocabulary) + 1, bool)
+        wide = np.arange(n + e)
+        for k in self.by_length[n]:
+            if k not in present:
+                continue
+            item = self.sequences[k]
+            mine[self.places[k]] = True
+            own = np.concatenate([[0], np.cumsum(mine[packed])])
+            mine[self.places[k]] = False
+            near = np.flatnonzero(own[high] - own[low] >= need)
+            for block in range(0, len(near), 4096):
+                part = near[block : block + 4096]
+                at = starts[part][:, None] + wide
+                shown = symbols[np.minimum(at, len(symbols) - 1)]
+                shown[at >= stops[part][:, None]] = self.absent
+                close = wide_matches(shown, item, e) >= need
+                if not close.any():
+                    continue
+                part = part[close]
+                far = prefix_distances(shown[close], item)[:, need:]
+                far[np.arange(need, n + e + 1) > (stops - starts)[part][:, None]] = n + e + 1
+                size = far.argmin(axis=1)  # the shortest of equals
+                least = far[np.arange(len(part)), size]
+                for i in np.flatnonzero(least <= e).tolist():
+                    p = int(starts[part[i]])
+                    t = int(text[p])
+                    key, value = (t, int(self.ids[k])), (int(least[i]), p - int(first[t]), need + int(size[i]))
+                    if key not in best or value < best[key]:
+                        best[key] = value
+
+
 def item_blocks(items: DataFrame, key: str, text: str, policy: LeakPolicy) -> Iterator[ItemIndex]:
     """Indexes over blocks of items of bounded size, streamed to the driver in the order of their ids."""
     ids: list[int] = []
@@ -273,7 +360,7 @@ def item_blocks(items: DataFrame, key: str, text: str, policy: LeakPolicy) -> It
 
 def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", into: str = "leaks", policy: LeakPolicy | None = None) -> DataFrame:
     """docs with the array column ``into``: (item_id, edits, start_word, n_words) for each leaked item, by item id."""
-    policy = policy or LeakPolicy()
+    policy = policy or LeakPolicy(any_length=True)
     spark = docs.sparkSession
     kept = [x for x in docs.columns if x != into]
     row, found = "__row__", "__found__"

@@ -150,6 +150,54 @@ def test_leaks(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
+def test_leaks_of_other_lengths(spark):
+    """Windows of all lengths count: words put in or left out, and texts shorter than the item."""
+    random.seed(9)
+    vocabulary = [f"w{i}" for i in range(60)] + ["the", "of"]
+    items = [(i, " ".join(random.choice(vocabulary) for _ in range(n))) for i, n in enumerate((4, 10, 25, 50, 50))]
+    texts = [None, "", "the of"]
+    for _, t in items:
+        for edits in (1, 2, 4, 6, 8, 10):
+            for kind in (0, 1):
+                words = t.split()
+                for _ in range(edits):
+                    if kind:
+                        words.insert(random.randrange(1, len(words)), f"n{random.randint(0, 99)}")
+                    elif len(words) > 1:
+                        del words[random.randrange(len(words))]
+                around = [" ".join(random.choice(vocabulary) for _ in range(random.randint(0, 12))) for _ in range(2)]
+                texts += [" ".join(words), f"{around[0]} {' '.join(words)} {around[1]}"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([*items, (9, None)], "item_id long, text string")
+    want, plain = {}, 0
+    for i, t in enumerate(texts):
+        words = normal(t)
+        for k, item in items:
+            wanted = normal(item)
+            n, e = len(wanted), int(0.2 * len(wanted) + 1e-9)
+            found = []
+            for s in range(len(words)):
+                ends = prefix_row(wanted, words[s : s + n + e])
+                found += [(ends[m], s, m) for m in range(max(1, n - e), len(ends))]
+            if found and min(found)[0] <= e:
+                want[i, k] = min(found)
+                plain += any(d <= e and m == n for d, _, m in found)
+    got = {(r.doc_id, r.item_id): (r.edits, r.start_word, r.n_words) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == want and plain < len(want)
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def prefix_row(a, b):
+    """Distances of a to all prefixes of b."""
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j + 1] + 1, new[j] + 1, row[j] + (x != y)))
+        row = new
+    return row
+
+
 def test_edit_distances():
     random.seed(1)
     a = [[random.randint(0, 3) for _ in range(9)] for _ in range(50)]
