@@ -15,8 +15,9 @@ Candidates are verified by exact weighted Jaccard similarity. Classes are connec
 never emits all its pairs: each member names the ``nearest`` members whose signatures agree most with its own, as long as the agreement is
 within three standard errors of the similarity asked for. Verified links give classes; then only members of different
 classes are paired, eight times as many nearest as before, until no untested pair across classes is left. Buckets of more than
-``bucket_size`` members are dealt out again by further samples, several ways so that near texts still meet, and if those agree too, by
-the hash of the text with one member common to all parts.
+``bucket_size`` members are first dealt out by further samples, several ways, which finds most links soon. Those that still hold
+several classes are then cut into parts by the hash of the text, and every two parts meet in a block of about ``bucket_size`` members,
+so that all pairs of a bucket meet, whatever its size: n members make about 2 n / ``bucket_size`` rows each.
 
 Equal texts are one vertex from the start, so copies cost one row a task. Null text is the empty text; texts without words are near
 only to equal texts. class_id is the least doc_id of the class (null if all are null). Repeated rows share a class.
@@ -305,6 +306,8 @@ def _bucket_pairs(nearest: int, least: int):
         v, label = table.column("v").to_pylist(), table.column("label").to_pylist()
         order = sorted(range(len(v)), key=v.__getitem__)  # equal members must meet alike in every bucket
         ids = {x: i for i, x in enumerate(dict.fromkeys(label))}
+        if len(ids) < 2:
+            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
         signs = np.stack([np.frombuffer(x, np.uint16) for x in table.column("sign").to_pylist()])[order]
         pairs = nearest_pairs(signs, np.array([ids[label[i]] for i in order]), nearest, least)
         return pa.table({"a": pa.array([v[order[i]] for i, _ in pairs], pa.binary()), "b": pa.array([v[order[j]] for _, j in pairs], pa.binary())})
@@ -312,17 +315,21 @@ def _bucket_pairs(nearest: int, least: int):
     return run
 
 
-def _bounded(members: DataFrame, policy: NearPolicy) -> DataFrame:
-    """members (bucket, v, sign) with over-full buckets dealt out into bounded ones."""
+def _bounded(members: DataFrame, policy: NearPolicy) -> tuple[DataFrame, DataFrame | None]:
+    """members (bucket, v, sign) with over-full buckets dealt out into bounded ones, and the members of the over-full ones with
+    their number n, if there are any: dealing leads to most links soon, but not every pair meets in it."""
     done: DataFrame | None = None
+    over: DataFrame | None = None
     for level in range(policy.levels + 1):
-        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("hub")).where(F.col("n") > policy.bucket_size)
+        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > policy.bucket_size)
         sizes = c.staged(sizes, "full-buckets")
         if sizes.isEmpty():
-            return members if done is None else done.unionByName(members)
+            return (members if done is None else done.unionByName(members)), over
         fine = members.join(sizes.select("bucket"), "bucket", "left_anti")
         done = fine if done is None else done.unionByName(fine)
         full = members.join(sizes, "bucket")
+        if over is None:
+            full = over = c.staged(full.select("bucket", "v", "sign", "n"), "over-full")
         if level < policy.levels:
             total = policy.rows * policy.bands
             places = [(level * policy.ways + w) * 7919 % total for w in range(policy.ways)]
@@ -330,11 +337,22 @@ def _bounded(members: DataFrame, policy: NearPolicy) -> DataFrame:
             members = full.select(F.explode(parts).alias("bucket"), "v", "sign")
             crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
             members = c.staged(members.join(crowded, "bucket"), "members")
-        else:
-            part = F.pmod(F.xxhash64("v"), F.ceil(F.col("n") / (policy.bucket_size - 1)))
-            each = F.when(F.col("v") == F.col("hub"), F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / (policy.bucket_size - 1)) - 1)).otherwise(F.array(part))
-            members = full.select("bucket", "v", "sign", F.explode(each).alias("p")).select(F.xxhash64("bucket", "p").alias("bucket"), "v", "sign")
-    return done.unionByName(members)
+    return done, over
+
+
+def _parts(policy: NearPolicy) -> tuple[F.Column, F.Column]:
+    """The parts of half a block that an over-full bucket of n members is cut into, three or more, and a member's part."""
+    parts = F.greatest(F.ceil(F.col("n") / max(1, policy.bucket_size // 2)), F.lit(3)).cast("bigint")
+    return parts, F.pmod(F.xxhash64("v"), parts)
+
+
+def _blocks(members: DataFrame, policy: NearPolicy) -> DataFrame:
+    """members (bucket, n, v and others) of over-full buckets in blocks, one for each two parts: all pairs of a bucket meet."""
+    parts, part = _parts(policy)
+    others = F.filter(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda q: q != part)
+    placed = members.select("*", part.alias("part"), F.explode(others).alias("other"))
+    block = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
+    return placed.withColumn("bucket", block).drop("n", "part", "other")
 
 
 # --- classes -------------------------------------------------------------------------------------
@@ -373,32 +391,40 @@ def text_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", polic
         chosen = F.broadcast(chosen)
     texts = source.join(chosen.withColumnRenamed("id", "own"), "v").where(F.col("id").eqNullSafe(F.col("own"))).select("v", "text")
     sets = c.staged(texts.mapInArrow(_weighed(policy, common), "v binary, s binary, w binary").dropDuplicates(["v"]), "sets")
-    members = _bounded(c.staged(members.select("bucket", "v", "sign"), "members"), policy)
+    members, over = _bounded(c.staged(members.select("bucket", "v", "sign"), "members"), policy)
 
     samples = policy.rows * policy.bands
     least = int(np.floor(samples * policy.similarity - 3 * np.sqrt(samples * policy.similarity * (1 - policy.similarity))))
     labels: DataFrame = signed.select("v", F.col("v").alias("label")).limit(0)
     links: DataFrame | None = None
     tested: DataFrame | None = None
-    nearest = policy.nearest
-    while True:
-        placed = members if links is None else members.join(labels, "v", "left")
-        placed = placed.select("bucket", "v", "sign", (F.col("v") if links is None else F.coalesce("label", "v")).alias("label"))
-        if links is not None:  # buckets that lie within one class have nothing to add
-            mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-            placed = placed.join(mixed, "bucket", "left_semi")
-        pairs = placed.groupBy("bucket").applyInArrow(_bucket_pairs(nearest, least), "a binary, b binary").distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = c.staged(pairs, "pairs")
-        if pairs.isEmpty() and nearest >= policy.bucket_size:
-            return labels
-        if not pairs.isEmpty():
-            found = c.staged(_links(pairs, sets, policy), "near")
-            links = found if links is None else links.unionByName(found)
-            tested = pairs if tested is None else tested.unionByName(pairs)
-            labels = components(links)
-        nearest *= 8
+    for table, blocks in ((members, False), (over, True)):
+        if table is None:
+            continue
+        nearest, largest = policy.nearest, policy.bucket_size
+        if blocks:
+            held = table.groupBy("bucket", _parts(policy)[1].alias("part")).agg(F.count(F.lit(1)).alias("n"))
+            largest = 2 * held.agg(F.max("n")).first()[0]
+        while True:
+            placed = table if links is None else table.join(labels, "v", "left")
+            placed = placed.withColumn("label", F.col("v") if links is None else F.coalesce("label", "v"))
+            if links is not None:  # buckets that lie within one class have nothing to add
+                mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
+                placed = placed.join(mixed, "bucket", "left_semi")
+            placed = (_blocks(placed, policy) if blocks else placed).select("bucket", "v", "sign", "label")
+            pairs = placed.groupBy("bucket").applyInArrow(_bucket_pairs(nearest, least), "a binary, b binary").distinct()
+            if tested is not None:
+                pairs = pairs.join(tested, ["a", "b"], "left_anti")
+            pairs = c.staged(pairs, "pairs")
+            if pairs.isEmpty() and nearest >= largest:
+                break
+            if not pairs.isEmpty():
+                found = c.staged(_links(pairs, sets, policy), "near")
+                links = found if links is None else links.unionByName(found)
+                tested = pairs if tested is None else tested.unionByName(pairs)
+                labels = components(links)
+            nearest *= 8
+    return labels
 
 
 def _members(docs: DataFrame, text: str, key: str, policy: NearPolicy | None) -> DataFrame:

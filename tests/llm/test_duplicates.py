@@ -2,7 +2,7 @@
 
 import hashlib
 import random
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -163,6 +163,34 @@ def test_near_classes(spark, policy):
     assert got == plain_classes(rows)
 
 
+@pytest.mark.parametrize("levels", [0, 1])
+def test_near_pairs_in_a_large_template_group(spark, levels):
+    """Texts of one template, too far from each other, each with one near text: over-full buckets must not part the two."""
+    random.seed(5)
+    base, rows = [f"w{random.randint(0, 99999)}" for _ in range(200)], []
+    for i in range(50):
+        one = list(base)
+        for at in random.sample(range(10, 190), 4):
+            one[at] = f"e{random.randint(0, 10**6)}"
+        two = list(one)
+        for at in random.sample(range(10, 190), 3):
+            two[at] = f"o{random.randint(0, 10**6)}"
+        rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(two))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    policy = minhash_dedup.NearPolicy(bucket_size=8, levels=levels, ways=1)
+    got = {r.doc_id: r.class_id for r in minhash_dedup.classify(docs, policy=policy).collect()}
+    assert got == plain_classes(rows)
+
+
+def test_all_pairs_of_an_over_full_bucket_meet(spark):
+    members = spark.range(70).selectExpr("7L AS bucket", "cast(cast(id AS string) AS binary) AS v", "70L AS n")
+    found = defaultdict(set)
+    for r in minhash_dedup._blocks(members, minhash_dedup.NearPolicy(bucket_size=16)).collect():
+        found[r.bucket].add(int(bytes(r.v)))
+    met = {frozenset((a, b)) for x in found.values() for a in x for b in x if a < b}
+    assert len(met) == 70 * 69 // 2 and max(map(len, found.values())) < 40
+
+
 def test_representatives(spark):
     rows = near_rows()
     docs = spark.createDataFrame([(*r, 1) for r in rows] + [(5, "tie one", 2), (5, "tie one", 2)], "doc_id long, text string, row int")
