@@ -16,7 +16,7 @@ The suffixes are sorted in shards. Equal strings must meet in one shard, so shar
 4. Marks return to all stretches by (anchor, content), are united by text, and the covered bytes are cut out.
 
 Two strings of one shard never meet by chance: marks come from compared bytes. Content and anchor keys are 64 bits each; a text
-is known by (key column, 64-bit hash). Null texts are empty. Texts shorter than ``length`` lose nothing. Repeated rows are
+is known by two 64-bit hashes, of its key and of itself; a null key is a key like others, so its texts lose and give as any do. Null texts are empty. Texts shorter than ``length`` lose nothing. Repeated rows are
 copies of each other. Other columns pass through; the made columns win over input columns of those names.
 """
 
@@ -150,9 +150,9 @@ def _only(rows: DataFrame, ids: DataFrame, keys: list[str], limit: int, count: i
 
 
 def covered_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", policy: SubstringPolicy | None = None) -> DataFrame:
-    """(id, h, spans): the covered runs of each text that has any, possibly overlapping; h is xxhash64 of the text."""
+    """(id, h, spans): the covered runs of each text that has any, possibly overlapping; id and h are xxhash64 of key and text."""
     policy = policy or SubstringPolicy()
-    source = docs.select(docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("h"), "text")
+    source = docs.select(F.xxhash64(docs[key]).alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).select("id", F.xxhash64("text").alias("h"), "text")
     schema = T.StructType([source.schema["id"], *(T.StructField(x, T.LongType()) for x in ("h", "start", "n", "a", "c"))])
     rows = c.staged(source.mapInArrow(_stretch_rows(policy, schema.names), schema), "stretches")
     kinds = rows.groupBy("a", "c").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "h", "start", "n")).alias("one"))
@@ -208,7 +208,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", key: str = "doc_id", pol
     made = ["n_bytes", "n_removed", "n_spans", "kept_sha256" if digests else "kept"]
     columns = [x for x in docs.columns if x not in made]
     row = F.struct(docs[key].alias("k")) if digests else F.struct(*[docs[x] for x in columns])
-    source = docs.select(row.alias("row"), docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    source = docs.select(row.alias("row"), F.xxhash64(docs[key]).alias("id"), F.coalesce(docs[text], F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
     ids = spans.select("id", "h")
     if n <= policy.broadcast_ids:  # only texts that lose something are moved
         touched = source.join(F.broadcast(ids), ["id", "h"], "left_semi").join(spans, ["id", "h"])

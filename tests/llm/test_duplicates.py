@@ -106,6 +106,20 @@ def test_repeated_substrings(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_repeats_in_rows_without_id(spark):
+    """Rows with a null id lose repeated strings and are the other place of strings in rows with an id."""
+    random.seed(21)
+    made = ["".join(random.choice("abcdefgh ") for _ in range(320)) for _ in range(8)]
+    texts = [made[0], made[0], made[1] + made[2], made[3] + made[2][40:300], made[4], made[4] + "!", made[5] + made[6], made[6][:250] + made[7], None, "short"]
+    ids = [None, 1, None, 2, None, None, 3, None, None, 4]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    want = plain_removal([(t or "").encode() for t in texts], 200)
+    for limit in (0, 100_000):
+        policy = suffix_dedup.SubstringPolicy(shard_bytes=4000, broadcast_ids=limit)
+        got = suffix_dedup.remove_repeats(docs, digests=True, policy=policy).collect()
+        assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((i, *w) for i, w in zip(ids, want))
+
+
 def shingle_set(text):
     words = (text or "").encode().split()
     if not words:
