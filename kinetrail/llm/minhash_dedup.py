@@ -1,32 +1,39 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF word shingles.
 
 A text is its set of five-word shingles (a text of one to four words is one shingle), each weighted by its count in the
-text times an inverse document frequency. That factor is 1 for shingles in at most ``common_share`` of all documents (or in
-fewer than ``common_floor``) and falls as ln(N / df) / ln(1 / common_share) beyond. So only shingles of large document frequency need
-counting; there are at most (shingles a document) / common_share of them, whatever the size of the corpus, and they are found
+text times an inverse document frequency, ln(1 + N / max(df, smooth_share * N)) for N documents: one smoothed formula at every
+size of the input. A shingle in no more than ``smooth_share`` of the documents has the full factor, so only shingles beyond it need a count of
+their own; there are at most (mean shingles of a document) / smooth_share of them, whatever the size of the corpus, and they are counted
 exactly: tasks report what is in more than half that share of a block of their documents, sums of the reports name a bounded
 superset, a second pass counts those.
 
 Improved consistent weighted sampling draws (r, c, beta) for each shingle and each of rows * bands samples from tables of quantiles
 and keeps the shingle and its quantised weight with the least a = c / exp(r (t - beta + 1)); equal samples have the probability of
-weighted Jaccard similarity. ``rows`` samples make a band; texts with an equal band are candidates.
+weighted Jaccard similarity. ``rows`` samples make a band; texts with an equal band share a bucket. A pair at similarity 0.8 shares
+one with probability 1 - (1 - 0.8 ** 5) ** 18 = 0.9992.
 
-Candidates are verified by exact weighted Jaccard similarity. Classes are connected components of verified links. A bucket of a band
-never emits all its pairs: each member names the ``nearest`` members whose signatures agree most with its own, as long as the agreement is
-within three standard errors of the similarity asked for. Verified links give classes; then only members of different
-classes are paired, eight times as many nearest as before, until no untested pair across classes is left. Buckets of more than
-``bucket_size`` members are first dealt out by further samples, several ways, which finds most links soon. Those that still hold
-several classes are then cut into parts by the hash of the text, and every two parts meet in a block of about ``bucket_size`` members,
-so that all pairs of a bucket meet, whatever its size: n members make about 2 n / ``bucket_size`` rows each.
+Rows never grow with the pairs of a group. Both steps below give each group to a task, which searches it and returns the links of a
+spanning forest: a member is compared with those that no tree holds yet, so n members give n - 1 links at most and no link is lost.
+
+1. Candidates: in each bucket, members whose samples agree in at least ``similarity`` less ``slack`` standard errors (one pair in
+   three millions at the similarity asked for has fewer). Connected components of these links are the groups of step 2.
+2. Classes: each text of a group is shingled again and sent once; members are compared by exact weighted Jaccard similarity
+   of their shingles (64-bit hashes, exact counts). Classes are connected components of these links.
+
+A group beyond its bound (``bucket_size`` members, ``group_shingles`` shingles) is cut into parts by the hash of the text. A few members, the hubs,
+are added to every part. Where the links of the parts leave more than one class, every two parts meet in a block, so that all pairs
+across classes are compared whatever the size: n members cost (number of parts - 1) rows each there, which grows with the square of
+a group that stays apart.
 
 Equal texts are one vertex from the start, so copies cost one row a task. Null text is the empty text; texts without words are near
-only to equal texts. class_id is the least doc_id of the class (null if all are null). Repeated rows share a class.
-Other columns pass through; ``class_id`` wins over an input column of that name.
+only to equal texts. class_id is the least doc_id of the class (null if all are null). Repeated rows share a class. An empty table gives an
+empty result. Long texts are taken whole; one text is held in a task at least. Other columns pass through; ``class_id`` wins over an input column
+of that name.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,24 +44,31 @@ from pyspark.sql import functions as F
 from kinetrail.llm import common as c
 from kinetrail.llm.graph import components
 
+#: rows of digests (some 80 bytes each) that are broadcast; beyond it they are joined by shuffle
+BROADCAST_ROWS = 200_000
+
 
 @dataclass(frozen=True)
 class NearPolicy:
     words: int = 5
     similarity: float = 0.8
-    rows: int = 4
-    bands: int = 15
-    common_share: float = 0.05
-    common_floor: int = 500
-    nearest: int = 3
+    rows: int = 5
+    bands: int = 18
+    smooth_share: float = 0.01
+    slack: float = 5.0
     bucket_size: int = 1500
-    #: ways in which an over-full bucket is dealt out at each level, and levels
-    ways: int = 6
-    levels: int = 6
+    group_shingles: int = 1 << 19
+    hubs: int = 4
     #: shingles that a task gathers before it reports what is common among them, and documents at least
     block: int = 1 << 21
     block_docs: int = 256
 
+    @property
+    def least(self) -> int:
+        """Equal samples that a candidate pair has at least."""
+        n, p = self.rows * self.bands, self.similarity
+        return max(1, int(np.floor(n * p - self.slack * np.sqrt(n * p * (1 - p)))))
+
 
 @dataclass(frozen=True)
 class Common:
@@ -84,8 +98,14 @@ def shingles(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray,
     if len(few):
         short = [c.mix(np.bitwise_xor.reduce(c.mix(word[first[t] : first[t + 1]] + np.arange(first[t + 1] - first[t], dtype=np.uint64)), keepdims=True))[0] for t in few]
         owner, value = np.concatenate([owner, few]), np.concatenate([value, np.array(short, np.uint64)])
-    order = np.lexsort((value, owner))
-    owner, value = owner[order], value[order]
+    if len(few) or len(value) < 64 * (len(first) - 1):
+        order = np.lexsort((value, owner))
+        owner, value = owner[order], value[order]
+    else:  # few and long texts: sorted one by one
+        value = value.copy()
+        cuts = np.searchsorted(owner, np.arange(len(first)))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            value[i:j].sort()
     new = np.ones(len(value), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (value[1:] != value[:-1])
     at = np.flatnonzero(new)
@@ -135,22 +155,23 @@ def _exact(policy: NearPolicy, shared):
 
 
 def common_shingles(docs: DataFrame, text: str, policy: NearPolicy) -> Common:
-    """All shingles whose document frequency lowers their weight, with exact frequencies over all documents."""
+    """All shingles whose document frequency lowers their weight, with factors from exact frequencies over all documents.
+
+    Factors are relative to that of a shingle in no more than ``smooth_share`` of the documents."""
     n = docs.count()
-    none = Common(np.empty(0, np.uint64), np.empty(0))
-    if n < policy.common_floor:
-        return none
-    share = max(policy.common_share, policy.common_floor / n)
+    share = policy.smooth_share
     source = docs.select(docs[text].alias("text"))
     reports = source.mapInArrow(_reports(policy, share), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
     # sums of at least half the share: at most 2 / share times the mean number of shingles of a document
-    wanted = np.array(sorted(r.shingle & (2**64 - 1) for r in reports.where(F.col("n") >= share / 2 * n).select("shingle").collect()), np.uint64)
+    often = reports.where((F.col("n") >= share / 2 * n) & (F.col("n") > 1)).select("shingle").toArrow()
+    wanted = np.sort(often.column("shingle").to_numpy().view(np.uint64))
     if not len(wanted):
-        return none
+        return Common(np.empty(0, np.uint64), np.empty(0))
     exact = source.mapInArrow(_exact(policy, docs.sparkSession.sparkContext.broadcast(wanted)), "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = sorted((r.shingle & (2**64 - 1), r.n) for r in exact.where(F.col("n") > share * n).collect())
-    df = np.array([x for _, x in rows], np.float64)
-    return Common(np.array([s for s, _ in rows], np.uint64), np.log(n / df) / np.log(1 / share))
+    rows = exact.where(F.col("n") > max(1.0, share * n)).toArrow()
+    shingle, df = rows.column("shingle").to_numpy().view(np.uint64), rows.column("n").to_numpy().astype(np.float64)
+    order = np.argsort(shingle)
+    return Common(shingle[order], np.log1p(n / df[order]) / np.log1p(n / max(1.0, share * n)))
 
 
 # --- signatures ---------------------------------------------------------------------------------
@@ -166,33 +187,42 @@ def _gamma2_quantiles() -> np.ndarray:
 
 
 class Sampler:
-    """Improved consistent weighted sampling with tables."""
+    """Improved consistent weighted sampling with tables: 65,536 quantiles of c, 256 each of r and beta."""
+
+    #: shingles worked on at a time: their values stay in the processor's cache
+    SLICE = 1 << 14
 
     def __init__(self, samples: int):
-        gamma = _gamma2_quantiles()
-        self.r, self.log_c, self.beta = gamma, np.log(gamma), (np.arange(65536) + 0.5) / 65536
-        self.rest = 1 - self.beta
-        self.seeds = c.mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        fine = _gamma2_quantiles()
+        self.log_c = np.log(fine).astype(np.float32)
+        r, beta = fine[128::256], (np.arange(256) + 0.5) / 256
+        self.r, self.beta = np.repeat(r, 256).astype(np.float32), np.tile(beta, 256).astype(np.float32)
+        self.drop = self.r * (1 - self.beta)  # weight 1: t is 0
+        self.seeds = c.mix(np.arange(1, samples + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
     def __call__(self, owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
-        """Samples by text, as 64-bit values; rows of texts without shingles are 0."""
-        out = np.zeros((texts, len(self.seeds)), np.uint64)
-        if not len(owner):
-            return out
-        at = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-        odd = np.flatnonzero(weight != 1)
-        log_weight = np.log(weight[odd])
-        low = np.uint64(0xFFFF)
-        for k, seed in enumerate(self.seeds):
-            x = c.mix(shingle ^ seed)
-            i, j, m = (x >> np.uint64(48)).astype(np.int64), ((x >> np.uint64(32)) & low).astype(np.int64), ((x >> np.uint64(16)) & low).astype(np.int64)
-            a = self.log_c[i] - self.r[j] * self.rest[m]  # weight 1: t is 0
-            if len(odd):
-                r, beta = self.r[j[odd]], self.beta[m[odd]]
-                t = np.floor(log_weight / r + beta)
-                a[odd] = self.log_c[i[odd]] - r * (t - beta + 1)
-            out[owner[at], k] = np.minimum.reduceat(a, at).view(np.uint64)
-        return out
+        """Samples by text, as 32-bit values; rows of texts without shingles are all alike."""
+        out = np.full((texts, len(self.seeds)), np.inf, np.float32)
+        for low in range(0, len(owner), self.SLICE):
+            part, held = shingle[low : low + self.SLICE], owner[low : low + self.SLICE]
+            at = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
+            whose = held[at]
+            odd = np.flatnonzero(weight[low : low + self.SLICE] != 1)
+            log_weight = np.log(weight[low : low + self.SLICE][odd]).astype(np.float32)
+            best = np.empty((len(at), len(self.seeds)), np.float32)
+            x = np.empty(len(part), np.uint64)
+            quarters = x.view(np.uint16).reshape(-1, 4)
+            for k, seed in enumerate(self.seeds):
+                np.multiply(part, seed, out=x)
+                i, j = quarters[:, 3].astype(np.intp), quarters[:, 2].astype(np.intp)
+                a = self.log_c.take(i, mode="clip")
+                a -= self.drop.take(j, mode="clip")
+                if len(odd):
+                    r, beta = self.r[j[odd]], self.beta[j[odd]]
+                    a[odd] = self.log_c[i[odd]] - r * (np.floor(log_weight / r + beta) - beta + 1)
+                best[:, k] = np.minimum.reduceat(a, at)
+            out[whose] = np.minimum(out[whose], best)
+        return out.view(np.uint32)
 
 
 def _signatures(policy: NearPolicy, common):
@@ -206,7 +236,7 @@ def _signatures(policy: NearPolicy, common):
                 for b in range(policy.bands):
                     key = np.full(j - i, b + 1, np.uint64)
                     for k in range(b * policy.rows, (b + 1) * policy.rows):
-                        key = c.mix(key * np.uint64(0x9FB21C651E98DF25) + samples[:, k])
+                        key = c.mix(key * np.uint64(0x9FB21C651E98DF25) + samples[:, k].astype(np.uint64))
                     keys[:, b] = key
                 some = np.zeros(j - i, bool)
                 some[owner] = True
@@ -214,145 +244,182 @@ def _signatures(policy: NearPolicy, common):
                 cuts = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(cuts), pa.array(keys[some].ravel().view(np.int64)))
                 rows = batch.slice(i, j - i)
-                short = (c.mix(samples) >> np.uint64(48)).astype(np.uint16)
+                short = (c.mix(samples.astype(np.uint64)) >> np.uint64(56)).astype(np.uint8)
                 signs = pa.array([x.tobytes() for x in short], pa.binary())
                 yield pa.RecordBatch.from_arrays([rows.column("v"), rows.column("id"), lists, signs], names=["v", "id", "bands", "sign"])
 
     return run
 
 
-def pack(values: np.ndarray) -> bytes:
-    """The upper 40 bits of sorted shingles in five bytes each: two texts of a thousand words mix up a shingle once in a million pairs."""
-    short = values >> np.uint64(24)
-    return short.astype(np.uint32).tobytes() + (short >> np.uint64(32)).astype(np.uint8).tobytes()
-
-
-def unpack(raw: bytes) -> np.ndarray:
-    n = len(raw) // 5
-    return np.frombuffer(raw, np.uint32, n) | np.frombuffer(raw, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
-
-
 def _weighed(policy: NearPolicy, common):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, offsets in c.byte_chunks(batch.column("text")):
                 owner, value, count = shingles(buf, offsets, policy.words)
-                weight = common.value.weigh(value, count).astype(np.float32)
-                cut = np.searchsorted(owner, np.arange(j - i + 1))
-                plain = [bool((weight[a:b] == 1).all()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                weight = common.value.weigh(value, count)
+                cut = np.searchsorted(owner, np.arange(j - i + 1)).tolist()
+                spans = list(zip(cut[:-1], cut[1:], strict=True))
+                plain = np.add.reduceat(np.append(weight != 1, False), cut[:-1]) == 0 if spans else []
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.slice(i, j - i).column("v"),
-                        pa.array([pack(value[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()),
-                        pa.array([b"" if p else weight[a:b].tobytes() for p, a, b in zip(plain, cut[:-1], cut[1:], strict=True)], pa.binary()),
+                        pa.array([value[a:b].tobytes() for a, b in spans], pa.binary()),
+                        pa.array([b"" if p else weight[a:b].tobytes() for p, (a, b) in zip(plain, spans, strict=True)], pa.binary()),
+                        pa.array([b - a for a, b in spans], pa.int64()),
                     ],
-                    names=["v", "s", "w"],
+                    names=["v", "s", "w", "size"],
                 )
 
     return run
 
 
-def weighted_jaccard(s: np.ndarray, w: np.ndarray, t: np.ndarray, x: np.ndarray) -> float:
-    """Similarity of two sorted shingle arrays with weights."""
-    if not len(s) or not len(t):
-        return 0.0
-    place = np.minimum(np.searchsorted(t, s), len(t) - 1)
-    same = t[place] == s
-    shared = float(np.minimum(w[same], x[place[same]]).sum())
-    return shared / (float(w.sum()) + float(x.sum()) - shared)
+# --- links of a group ---------------------------------------------------------------------------
+
+Near = Callable[[int, np.ndarray], np.ndarray]
+
+
+def spanning(n: int, near: Near, label: np.ndarray | None = None, part: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the members 0 to n - 1; ``near(i, others)`` says which others are linked to i.
+
+    Members of equal label hang together already, and only members of different parts are compared, where given."""
+    left = np.ones(n, bool)
+    links: list[tuple[int, int]] = []
+    for start in range(n):
+        stack = [start] if left[start] else []
+        left[start] = False
+        while stack:
+            i = stack.pop()
+            if label is not None:
+                same = np.flatnonzero(left & (label == label[i]))
+                left[same] = False
+                stack.extend(same.tolist())
+            others = np.flatnonzero(left if part is None else left & (part != part[i]))
+            if len(others):
+                hit = others[near(i, others)]
+                left[hit] = False
+                stack.extend(hit.tolist())
+                links += [(i, j) for j in hit.tolist()]
+    return links
+
+
+def near_samples(signs: np.ndarray, least: int) -> Near:
+    """Members whose samples agree in ``least`` or more."""
+    return lambda i, others: (signs[others] == signs[i]).sum(axis=1) >= least
+
+
+def near_sets(values: list[np.ndarray], weights: list[np.ndarray], limit: float) -> Near:
+    """Members whose weighted Jaccard similarity is ``limit`` or more; each has distinct shingles and their weights."""
+    size = np.array([len(x) for x in values])
+    first = np.concatenate([[0], np.cumsum(size)])
+    _, ids = np.unique(np.concatenate(values), return_inverse=True)
+    flat = np.concatenate(weights)
+    total = np.add.reduceat(flat, first[:-1])
+    mine = np.zeros(int(ids.max()) + 1)
+
+    def near(i: int, others: np.ndarray) -> np.ndarray:
+        # the similarity is at most the ratio of the totals
+        fits = np.minimum(total[others], total[i]) >= limit * np.maximum(total[others], total[i]) * (1 - 1e-12)
+        some = others[fits]
+        if not len(some):
+            return fits
+        own = slice(first[i], first[i + 1])
+        mine[ids[own]] = flat[own]
+        cut = np.concatenate([[0], np.cumsum(size[some])])
+        if 2 * cut[-1] > first[some[-1] + 1] - first[some[0]]:  # all from the first to the last
+            span = slice(first[some[0]], first[some[-1] + 1])
+            shared = np.add.reduceat(np.minimum(mine[ids[span]], flat[span]), first[some[0] : some[-1] + 1] - first[some[0]])[some - some[0]]
+        else:
+            at = np.arange(cut[-1]) + np.repeat(first[some] - cut[:-1], size[some])
+            shared = np.add.reduceat(np.minimum(mine[ids[at]], flat[at]), cut[:-1])
+        mine[ids[own]] = 0
+        out = fits.copy()
+        out[fits] = shared >= limit * (total[some] + total[i] - shared) * (1 - 1e-12)
+        return out
 
+    return near
 
-def _verify(limit: float):
-    def both(s: bytes, w: bytes) -> tuple[np.ndarray, np.ndarray]:
-        values = unpack(s)
-        return values, np.frombuffer(w, np.float32).astype(np.float64) if w else np.ones(len(values))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, s, w, t, x = (batch.column(k) for k in ("a", "b", "s", "w", "t", "x"))
-            near = [weighted_jaccard(*both(s[i].as_py(), w[i].as_py()), *both(t[i].as_py(), x[i].as_py())) >= limit for i in range(len(a))]
-            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"]).filter(pa.array(near))
-
-    return run
+def _by_samples(policy: NearPolicy) -> Callable[[pa.Table], Near]:
+    return lambda rows: near_samples(np.stack([np.frombuffer(x, np.uint8) for x in rows.column("sign").to_pylist()]), policy.least)
 
 
-# --- pairs of a bucket ---------------------------------------------------------------------------
+def _by_sets(policy: NearPolicy) -> Callable[[pa.Table], Near]:
+    def build(rows: pa.Table) -> Near:
+        values = [np.frombuffer(x, np.uint64) for x in rows.column("s").to_pylist()]
+        weights = [np.frombuffer(x) if x else np.ones(len(s)) for x, s in zip(rows.column("w").to_pylist(), values, strict=True)]
+        return near_sets(values, weights, policy.similarity)
 
+    return build
 
-def agreement(signs: np.ndarray) -> np.ndarray:
-    """Numbers of equal samples of all pairs of rows; for the bounded members of one bucket."""
-    out = np.zeros((len(signs), len(signs)), np.uint8)
-    for k in range(signs.shape[1]):
-        out += signs[:, k, None] == signs[None, :, k]
-    return out
 
+LINK = "a binary, b binary"
 
-def nearest_pairs(signs: np.ndarray, labels: np.ndarray, nearest: int, least: int) -> list[tuple[int, int]]:
-    """Pairs (i, j), i < j, of different labels: for each i the ``nearest`` j that agree most, in ``least`` samples or more."""
-    near = agreement(signs).astype(np.int16)
-    near[labels[:, None] == labels[None, :]] = -1
-    if len(near) > nearest:
-        picked = np.argpartition(-near, nearest - 1, axis=1)[:, :nearest]
-    else:
-        picked = np.tile(np.arange(len(near)), (len(near), 1))
-    i = np.repeat(np.arange(len(near)), picked.shape[1])
-    j = picked.ravel()
-    keep = near[i, j] >= least
-    return sorted({(min(a, b), max(a, b)) for a, b in zip(i[keep].tolist(), j[keep].tolist(), strict=True)})
 
+def _forests(build: Callable[[pa.Table], Near]):
+    """The links of all groups of a bin of rows (group, v, and optionally label and part, and what ``build`` reads)."""
 
-def _bucket_pairs(nearest: int, least: int):
     def run(table: pa.Table) -> pa.Table:
-        v, label = table.column("v").to_pylist(), table.column("label").to_pylist()
-        order = sorted(range(len(v)), key=v.__getitem__)  # equal members must meet alike in every bucket
-        ids = {x: i for i, x in enumerate(dict.fromkeys(label))}
-        if len(ids) < 2:
-            return pa.table({"a": pa.array([], pa.binary()), "b": pa.array([], pa.binary())})
-        signs = np.stack([np.frombuffer(x, np.uint16) for x in table.column("sign").to_pylist()])[order]
-        pairs = nearest_pairs(signs, np.array([ids[label[i]] for i in order]), nearest, least)
-        return pa.table({"a": pa.array([v[order[i]] for i, _ in pairs], pa.binary()), "b": pa.array([v[order[j]] for _, j in pairs], pa.binary())})
+        a, b = [], []
+        table = table.combine_chunks().sort_by("group")
+        group = table.column("group").to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]]).tolist()
+        for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+            if j - i > 1:
+                rows = table.slice(i, j - i)
+                v = rows.column("v").to_pylist()
+                label = np.unique(np.array([x.hex() for x in rows.column("label").to_pylist()]), return_inverse=True)[1] if "label" in rows.column_names else None
+                part = rows.column("part").to_numpy() if "part" in rows.column_names else None
+                found = spanning(j - i, build(rows), label, part)
+                a += [v[x] for x, _ in found]
+                b += [v[y] for _, y in found]
+        return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
 
     return run
 
 
-def _bounded(members: DataFrame, policy: NearPolicy) -> tuple[DataFrame, DataFrame | None]:
-    """members (bucket, v, sign) with over-full buckets dealt out into bounded ones, and the members of the over-full ones with
-    their number n, if there are any: dealing leads to most links soon, but not every pair meets in it."""
-    done: DataFrame | None = None
-    over: DataFrame | None = None
-    for level in range(policy.levels + 1):
-        sizes = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > policy.bucket_size)
-        sizes = c.staged(sizes, "full-buckets")
-        if sizes.isEmpty():
-            return (members if done is None else done.unionByName(members)), over
-        fine = members.join(sizes.select("bucket"), "bucket", "left_anti")
-        done = fine if done is None else done.unionByName(fine)
-        full = members.join(sizes, "bucket")
-        if over is None:
-            full = over = c.staged(full.select("bucket", "v", "sign", "n"), "over-full")
-        if level < policy.levels:
-            total = policy.rows * policy.bands
-            places = [(level * policy.ways + w) * 7919 % total for w in range(policy.ways)]
-            parts = F.array(*[F.xxhash64("bucket", F.lit(p), F.substring("sign", 2 * p + 1, 2)) for p in places])
-            members = full.select(F.explode(parts).alias("bucket"), "v", "sign")
-            crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-            members = c.staged(members.join(crowded, "bucket"), "members")
-    return done, over
-
-
-def _parts(policy: NearPolicy) -> tuple[F.Column, F.Column]:
-    """The parts of half a block that an over-full bucket of n members is cut into, three or more, and a member's part."""
-    parts = F.greatest(F.ceil(F.col("n") / max(1, policy.bucket_size // 2)), F.lit(3)).cast("bigint")
+def _binned(members: DataFrame, bins: int, build) -> DataFrame:
+    return members.withColumn("bin", F.pmod(F.xxhash64("group"), F.lit(bins))).groupBy("bin").applyInArrow(_forests(build), LINK)
+
+
+def _parts(bound: int) -> tuple[F.Column, F.Column]:
+    """The parts of half the bound that a group of ``total`` is cut into, three or more, and a member's part."""
+    parts = F.greatest(F.ceil(F.col("total") / max(1, bound // 2)), F.lit(3)).cast("bigint")
     return parts, F.pmod(F.xxhash64("v"), parts)
 
 
-def _blocks(members: DataFrame, policy: NearPolicy) -> DataFrame:
-    """members (bucket, n, v and others) of over-full buckets in blocks, one for each two parts: all pairs of a bucket meet."""
-    parts, part = _parts(policy)
+def _blocks(members: DataFrame, bound: int) -> DataFrame:
+    """members (group, total, v and others) of over-full groups in blocks, one for each two parts: all pairs of different parts meet."""
+    parts, part = _parts(bound)
     others = F.filter(F.sequence(F.lit(0).cast("bigint"), parts - 1), lambda q: q != part)
     placed = members.select("*", part.alias("part"), F.explode(others).alias("other"))
-    block = F.xxhash64("bucket", F.least("part", "other"), F.greatest("part", "other"))
-    return placed.withColumn("bucket", block).drop("n", "part", "other")
+    block = F.xxhash64("group", F.least("part", "other"), F.greatest("part", "other"))
+    return placed.withColumn("group", block).drop("total", "other")
+
+
+def _linked(members: DataFrame, bound: int, build, policy: NearPolicy) -> DataFrame:
+    """Links (a, b), staged, that leave no two near members of a group apart; members: (group, v, size and what ``build`` reads)."""
+    sizes = members.groupBy("group").agg(F.sum("size").alias("total"))
+    every, largest = sizes.agg(F.sum("total"), F.max("total")).first()
+    if every is None:
+        return c.staged(members.select(F.col("v").alias("a"), F.col("v").alias("b")).limit(0), "links")
+    bins = int(-(-every // bound))
+    if largest <= bound:
+        return c.staged(_binned(members.drop("size"), bins, build), "links")
+    over = c.staged(sizes.where(F.col("total") > bound), "over-full")
+    small = _binned(members.join(over, "group", "left_anti").drop("size"), bins, build)
+    full = c.staged(members.join(over, "group").drop("size"), "full")
+    parts, part = _parts(bound)
+    placed = full.select("*", part.alias("part"))
+    first = [F.min(F.struct(F.xxhash64(F.lit(k), "v"), F.col("v").alias("hub"))).alias(f"h{k}") for k in range(policy.hubs)]
+    hubs = full.groupBy("group").agg(*first).select("group", F.explode(F.array_distinct(F.array(*[f"h{k}.hub" for k in range(policy.hubs)]))).alias("v"))
+    spread = placed.join(hubs, ["group", "v"]).select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)).alias("to")).where("to <> part")
+    ready = placed.unionByName(spread.drop("part").withColumnRenamed("to", "part")).withColumn("group", F.xxhash64("group", "part")).drop("total", "part")
+    links = c.staged(small.unionByName(ready.groupBy("group").applyInArrow(_forests(build), LINK)), "links")
+    labels = components(links)
+    known = full.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    mixed = known.groupBy("group").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("group")
+    rest = _blocks(known.join(mixed, "group", "left_semi"), bound).groupBy("group").applyInArrow(_forests(build), LINK)
+    return c.staged(links.unionByName(rest), "links")
 
 
 # --- classes -------------------------------------------------------------------------------------
@@ -362,69 +429,30 @@ def _vertex(text) -> F.Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
 
-def _links(pairs: DataFrame, sets: DataFrame, policy: NearPolicy) -> DataFrame:
-    """The pairs (a, b) that are similar enough."""
-    # the sets of b, of which many pairs may share one, are joined last: adaptive execution splits such keys
-    left = pairs.join(sets.select(F.col("v").alias("a"), "s", "w"), "a")
-    both = left.join(sets.select(F.col("v").alias("b"), F.col("s").alias("t"), F.col("w").alias("x")), "b")
-    return both.select("a", "b", "s", "w", "t", "x").mapInArrow(_verify(policy.similarity), pairs.select("a", "b").schema)
+def _few(df: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
 def text_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", policy: NearPolicy | None = None) -> DataFrame:
     """(v, label) of the distinct texts that are near another text; v: digest of the text."""
     policy = policy or NearPolicy()
-    spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(common_shingles(docs, text, policy))
-    source = docs.select(_vertex(docs[text]).alias("v"), docs[key].alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
-    schema = "v binary, id " + docs.schema[key].dataType.simpleString() + ", bands array<bigint>, sign binary"
-    signed = source.mapInArrow(_signatures(policy, common), schema).groupBy("v").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
-    signed = c.staged(signed, "signatures")
-    banded = signed.select(F.explode("bands").alias("bucket"), "v")  # signatures stay behind until few rows are left
-    crowded = banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    close = c.staged(banded.join(crowded, "bucket"), "close")
-    chosen = close.select("v").distinct().join(signed.select("v", "id", "sign"), "v")
-    chosen = c.staged(chosen, "chosen")
-    members = close.join(chosen.select("v", "sign"), "v")
-    chosen = chosen.select("v", "id")
-    n = chosen.count()
-    if n <= 1_000_000:
-        chosen = F.broadcast(chosen)
-    texts = source.join(chosen.withColumnRenamed("id", "own"), "v").where(F.col("id").eqNullSafe(F.col("own"))).select("v", "text")
-    sets = c.staged(texts.mapInArrow(_weighed(policy, common), "v binary, s binary, w binary").dropDuplicates(["v"]), "sets")
-    members, over = _bounded(c.staged(members.select("bucket", "v", "sign"), "members"), policy)
-
-    samples = policy.rows * policy.bands
-    least = int(np.floor(samples * policy.similarity - 3 * np.sqrt(samples * policy.similarity * (1 - policy.similarity))))
-    labels: DataFrame = signed.select("v", F.col("v").alias("label")).limit(0)
-    links: DataFrame | None = None
-    tested: DataFrame | None = None
-    for table, blocks in ((members, False), (over, True)):
-        if table is None:
-            continue
-        nearest, largest = policy.nearest, policy.bucket_size
-        if blocks:
-            held = table.groupBy("bucket", _parts(policy)[1].alias("part")).agg(F.count(F.lit(1)).alias("n"))
-            largest = 2 * held.agg(F.max("n")).first()[0]
-        while True:
-            placed = table if links is None else table.join(labels, "v", "left")
-            placed = placed.withColumn("label", F.col("v") if links is None else F.coalesce("label", "v"))
-            if links is not None:  # buckets that lie within one class have nothing to add
-                mixed = placed.groupBy("bucket").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("bucket")
-                placed = placed.join(mixed, "bucket", "left_semi")
-            placed = (_blocks(placed, policy) if blocks else placed).select("bucket", "v", "sign", "label")
-            pairs = placed.groupBy("bucket").applyInArrow(_bucket_pairs(nearest, least), "a binary, b binary").distinct()
-            if tested is not None:
-                pairs = pairs.join(tested, ["a", "b"], "left_anti")
-            pairs = c.staged(pairs, "pairs")
-            if pairs.isEmpty() and nearest >= largest:
-                break
-            if not pairs.isEmpty():
-                found = c.staged(_links(pairs, sets, policy), "near")
-                links = found if links is None else links.unionByName(found)
-                tested = pairs if tested is None else tested.unionByName(pairs)
-                labels = components(links)
-            nearest *= 8
-    return labels
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, text, policy))
+    source = docs.select(_vertex(docs[text]).alias("v"), F.xxhash64(docs[key]).alias("id"), F.coalesce(docs[text], F.lit("")).alias("text"))
+    # id: of the rows with equal text, those whose hashed key is least stand for it
+    signed = source.mapInArrow(_signatures(policy, common), "v binary, id bigint, bands array<bigint>, sign binary")
+    signed = c.staged(signed.groupBy("v").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sign").alias("sign")), "signatures")
+    banded = signed.select(F.explode("bands").alias("group"), "v")  # signatures stay behind until few rows are left
+    crowded = banded.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("group")
+    close = c.staged(banded.join(crowded, "group"), "close")
+    chosen = c.staged(close.select("v").distinct().join(signed.select("v", "id", "sign"), "v"), "chosen")
+    members = close.join(chosen.select("v", "sign"), "v").select("group", "v", F.lit(1).cast("bigint").alias("size"), "sign")
+    groups = components(_linked(c.staged(members, "members"), policy.bucket_size, _by_samples(policy), policy))
+
+    own = c.staged(groups.select("v").join(chosen.select("v", F.col("id").alias("own")), "v"), "own")
+    texts = source.join(_few(own, own.count()), "v").where(F.col("id") == F.col("own")).select("v", "text")
+    sets = texts.mapInArrow(_weighed(policy, common), "v binary, s binary, w binary, size bigint").dropDuplicates(["v"])
+    grouped = sets.join(groups, "v").select(F.xxhash64("label").alias("group"), "v", "size", "s", "w")
+    return components(_linked(c.staged(grouped, "sets"), policy.group_shingles, _by_sets(policy), policy))
 
 
 def _members(docs: DataFrame, text: str, key: str, policy: NearPolicy | None) -> DataFrame:
@@ -450,8 +478,7 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", po
     ids = _members(docs, text, key, policy)
     first = ids.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "v")).alias("x")).select("x.v", F.col("x.id").alias("own"))
     rows = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[key].alias("id"), _vertex(docs[text]).alias("v"))
-    n = ids.count()
-    found = rows.join(F.broadcast(first) if n <= 1_000_000 else first, "v").where(F.col("id").eqNullSafe(F.col("own")))
+    found = rows.join(_few(first, first.count()), "v").where(F.col("id").eqNullSafe(F.col("own")))
     unique = rows.groupBy("v", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     if not unique:  # only then texts move
         found = found.withColumn("content", F.to_json("row")).groupBy("v").agg(F.min_by("row", "content").alias("row"))

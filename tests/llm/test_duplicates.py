@@ -3,12 +3,15 @@
 import hashlib
 import random
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from kinetrail.llm import external_sais, graph, minhash_dedup, suffix_dedup
 
+TABLES = Path("/root/testdata/sf0.01")
+
 
 def plain_suffixes(text, cap):
     order = sorted(range(len(text)), key=lambda i: text[i:])
@@ -127,19 +130,24 @@ def shingle_set(text):
     return Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4)) if len(words) >= 5 else Counter([tuple(words)])
 
 
-def plain_classes(rows):
+def plain_classes(rows, share=0.01, limit=0.8):
+    """Classes by comparing all pairs, weights by count and inverse document frequency."""
     sets = [shingle_set(t) for _, t in rows]
-    up = list(range(len(rows)))
+    df = Counter(x for one in sets for x in one)
+    n = len(rows)
+    sets = [{x: k * np.log1p(n / max(df[x], share * n)) for x, k in one.items()} for one in sets]
+    total = [sum(one.values()) for one in sets]
+    up = list(range(n))
 
     def top(i):
         while up[i] != i:
             i = up[i]
         return i
 
-    for i in range(len(rows)):
+    for i in range(n):
         for j in range(i):
-            both, either = sum((sets[i] & sets[j]).values()), sum((sets[i] | sets[j]).values())
-            if (rows[i][1] or "") == (rows[j][1] or "") or (either and both / either >= 0.8):
+            both = sum(min(w, sets[j].get(x, 0)) for x, w in sets[i].items()) if min(total[i], total[j]) >= limit * max(total[i], total[j]) else 0
+            if (rows[i][1] or "") == (rows[j][1] or "") or (both and both / (total[i] + total[j] - both) >= limit - 1e-12):
                 up[top(i)] = top(j)
     least = {}
     for i, (d, _) in enumerate(rows):
@@ -169,7 +177,10 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("policy", [minhash_dedup.NearPolicy(), minhash_dedup.NearPolicy(bucket_size=12, nearest=2, levels=1), minhash_dedup.NearPolicy(bucket_size=9, levels=0)])
+SMALL = minhash_dedup.NearPolicy(bucket_size=9, group_shingles=1500, hubs=1)
+
+
+@pytest.mark.parametrize("policy", [minhash_dedup.NearPolicy(), minhash_dedup.NearPolicy(bucket_size=12, group_shingles=4000), SMALL])
 def test_near_classes(spark, policy):
     rows = near_rows()
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, class_id string")
@@ -177,9 +188,9 @@ def test_near_classes(spark, policy):
     assert got == plain_classes(rows)
 
 
-@pytest.mark.parametrize("levels", [0, 1])
-def test_near_pairs_in_a_large_template_group(spark, levels):
-    """Texts of one template, too far from each other, each with one near text: over-full buckets must not part the two."""
+@pytest.mark.parametrize("size", [8, 30, 1500])
+def test_near_pairs_in_a_large_template_group(spark, size):
+    """Texts of one template, too far from each other, each with one near text: over-full groups must not part the two."""
     random.seed(5)
     base, rows = [f"w{random.randint(0, 99999)}" for _ in range(200)], []
     for i in range(50):
@@ -191,18 +202,79 @@ def test_near_pairs_in_a_large_template_group(spark, levels):
             two[at] = f"o{random.randint(0, 10**6)}"
         rows += [(2 * i, " ".join(one)), (2 * i + 1, " ".join(two))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    policy = minhash_dedup.NearPolicy(bucket_size=8, levels=levels, ways=1)
+    policy = minhash_dedup.NearPolicy(bucket_size=size, group_shingles=200 * size, hubs=2)
     got = {r.doc_id: r.class_id for r in minhash_dedup.classify(docs, policy=policy).collect()}
     assert got == plain_classes(rows)
 
 
-def test_all_pairs_of_an_over_full_bucket_meet(spark):
-    members = spark.range(70).selectExpr("7L AS bucket", "cast(cast(id AS string) AS binary) AS v", "70L AS n")
-    found = defaultdict(set)
-    for r in minhash_dedup._blocks(members, minhash_dedup.NearPolicy(bucket_size=16)).collect():
-        found[r.bucket].add(int(bytes(r.v)))
-    met = {frozenset((a, b)) for x in found.values() for a in x for b in x if a < b}
-    assert len(met) == 70 * 69 // 2 and max(map(len, found.values())) < 40
+def test_classes_of_a_table_against_all_pairs(spark):
+    """More than 500 documents, with shingles common enough to weigh less: a table of copies, near copies and shared passages."""
+    if not TABLES.exists():
+        pytest.skip("no test tables")
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    random.seed(8)
+    footer = " ".join(f"f{random.randint(0, 99)}" for _ in range(60))
+    rows += [(10_000 + i, footer + " " + " ".join(f"x{random.randint(0, 10**6)}" for _ in range(random.randint(0, 25)))) for i in range(60)]
+    assert len(rows) > 500
+    want = plain_classes(rows)
+    assert want != plain_classes(rows, share=1.0)  # the weights decide
+    got = {r.doc_id: r.class_id for r in minhash_dedup.classify(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_spanning_forest_keeps_every_link(seed):
+    """The forest has the components of all pairs, n - 1 links at most, and honours labels and parts."""
+    random.seed(seed)
+    n = 60
+    near = np.zeros((n, n), bool)
+    for _ in range(55):
+        i, j = random.sample(range(n), 2)
+        near[i, j] = near[j, i] = True
+    label, part = np.array([random.randrange(50) for _ in range(n)]), np.array([random.randrange(2) for _ in range(n)])
+
+    def parted(pairs):
+        up = list(range(n))
+        for a, b in pairs:
+            x, y = {up[a]}, up[b]
+            up = [y if u in x else u for u in up]
+        return {frozenset(i for i in range(n) if up[i] == u) for u in set(up)}
+
+    every = [(i, j) for i in range(n) for j in range(n) if near[i, j]]
+    found = minhash_dedup.spanning(n, lambda i, others: near[i, others])
+    assert parted(found) == parted(every) and len(found) == n - len(parted(every))
+    same = [(i, j) for i in range(n) for j in range(n) if label[i] == label[j]]
+    found = minhash_dedup.spanning(n, lambda i, others: near[i, others], label, part)
+    assert parted(found + same) == parted([(i, j) for i, j in every if part[i] != part[j]] + same)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_similarity_of_a_member_with_all_others(seed):
+    rng = np.random.default_rng(seed)
+    values = [np.sort(rng.choice(120, rng.integers(1, 60), replace=False)).astype(np.uint64) for _ in range(40)]
+    values += [values[0], values[1][1:] if len(values[1]) > 1 else values[1]]
+    weights = [rng.uniform(0.5, 2, len(x)) for x in values]
+    weights[40] = weights[0]
+    near = minhash_dedup.near_sets(values, weights, 0.3)
+    for i in range(42):
+        for others in (np.delete(np.arange(42), i), np.array([x for x in (3, 30, 41) if x != i])):
+            want = []
+            for j in others:
+                a, b = dict(zip(values[i], weights[i])), dict(zip(values[j], weights[j]))
+                both = sum(min(a[x], b[x]) for x in a if x in b)
+                want.append(both / (sum(a.values()) + sum(b.values()) - both) >= 0.3)
+            assert near(i, others).tolist() == want
+
+
+def test_all_pairs_of_an_over_full_group_meet(spark):
+    members = spark.range(70).selectExpr("7L AS group", "cast(cast(id AS string) AS binary) AS v", "70L AS total")
+    found = defaultdict(dict)
+    for r in minhash_dedup._blocks(members, 16).collect():
+        found[r.group][int(bytes(r.v))] = r.part
+    met = {frozenset((a, b)) for x in found.values() for a in x for b in x if x[a] != x[b]}
+    own = {v: p for x in found.values() for v, p in x.items()}
+    assert met == {frozenset((a, b)) for a in range(70) for b in range(a) if own[a] != own[b]} and max(map(len, found.values())) < 40
 
 
 def test_representatives(spark):
@@ -217,10 +289,22 @@ def test_representatives(spark):
 
 def test_weights_of_common_shingles(spark):
     """A shingle in most documents counts less; its frequency is exact over all tasks."""
-    policy = minhash_dedup.NearPolicy(common_share=0.2, common_floor=20, block=64, block_docs=4)
+    policy = minhash_dedup.NearPolicy(smooth_share=0.2, block=64, block_docs=4)
     docs = spark.createDataFrame([(i, f"all of these words are common {i} a{i} b{i} c{i} d{i} e{i}") for i in range(60)] + [(99, None)], "doc_id long, text string").repartition(5)
     found = minhash_dedup.common_shingles(docs, "text", policy)
-    assert len(found.shingles) == 2 and np.allclose(found.factors, np.log(61 / 60) / np.log(61 / 20))
+    assert len(found.shingles) == 2 and np.allclose(found.factors, np.log1p(61 / 60) / np.log1p(5))
+
+
+def test_empty_and_long_texts(spark):
+    schema = "doc_id long, text string"
+    for few in ([], [(1, None)], [(1, ""), (2, None), (None, "  ")]):
+        got = minhash_dedup.classify(spark.createDataFrame(few, schema)).collect()
+        assert len(got) == len(few)
+    random.seed(4)
+    long = [f"w{random.randint(0, 9999)}" for _ in range(200_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-9])), (3, " ".join(long[: len(long) // 2])), (None, " ".join(long[9:]))]
+    got = {r.doc_id: r.class_id for r in minhash_dedup.classify(spark.createDataFrame(rows, schema)).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, None: 1}
 
 
 def test_sampling_has_the_probability_of_similarity():
@@ -230,7 +314,7 @@ def test_sampling_has_the_probability_of_similarity():
     w1, w2 = rng.uniform(0.2, 3, 60), rng.uniform(0.2, 3, 60)
     w1[:10], w2[10:20] = 1.0, 1.0
     a, b = (sampler(np.zeros(60, int), shingles, w, 1)[0] for w in (w1, w2))
-    want = minhash_dedup.weighted_jaccard(shingles, w1, shingles, w2)
+    want = np.minimum(w1, w2).sum() / np.maximum(w1, w2).sum()
     assert abs((a == b).mean() - want) < 0.04
 
 
