@@ -1,26 +1,26 @@
 """Benchmark decontamination: windows of a text within a bounded edit distance of a benchmark item.
 
 Texts and items are word sequences (runs of ASCII letters, digits and non-ASCII bytes; A-Z and Latin-1 capitals made small).
-An item of n words is leaked by a document when one of the document's windows is at most e = floor(``edit_share`` * n) word
-insertions, deletions and substitutions away from it. With ``any_length``, as the functions below take it unless a policy is given,
-windows of all lengths count (only n - e to n + e words can be that close): every start that step 1 leaves is verified by the
-exact distances of the item to all windows that start there, and nothing is lost. Without it only windows of n words count, and
-steps 2 to 4 find them with the recall asked for.
-
-1. Windows that cannot be that close are passed over: within e edits a window shares n - e words with the item, each at most
-   e places away. This bound loses nothing. It is applied to the words of all items first, then to each item's words as a
-   bag, then with places.
-2. The CGK random walk embeds the windows left: at step j the walk writes the word it stands on and moves on if the random
+An item of n words is leaked by a document when one of the document's windows, of any length, is at most e = floor(``edit_share`` * n) word
+insertions, deletions and substitutions away from it (only n - e to n + e words can be that close).
+
+1. Each edit breaks at most two pairs of neighbouring words, so a window within e edits holds n - 1 - 2 e of the pairs that items of n words
+   have (where that number is not positive: n - e of their words). Starts of windows that hold fewer are passed over. This loses
+   nothing, and its cost does not depend on the number of items. Neighbouring starts that stay form a run.
+2. The CGK random walk embeds the windows of n words at these starts: at step j the walk writes the word it stands on and moves on if the random
    bit of (repeat, j, word) is set. Small edit distance becomes small Hamming distance.
-3. Bit-sampling LSH: each repeat hashes the symbols at a few sampled steps; a window meets an item in any equal key. The
-   number of repeats for each item length is set by trial walks over items with the full count of random edits until
-   the estimated recall of a pair reaches ``recall``.
-4. Windows that met, and their neighbours up to e words either side, are verified by exact edit distance.
-
-Items are broadcast in blocks of at most ``block_words`` words; documents are read once a block, by the same tasks and without a
-shuffle. Null texts and null items have no words; an item without words leaks nowhere. Repeated items with one id are
-variants of that item; items with a null id are not looked for. Repeated documents are judged each. Ties of the edit
-count go to the earliest window. The column named by ``into`` wins over an input column of that name.
+3. Bit-sampling LSH: each repeat hashes the symbols at a few sampled steps, taken from a span that differs between repeats; a window that has
+   an item's key is the source of a candidate. The number of repeats for each length is twice the least by which the share of trial pairs that
+   met reaches ``recall``; trial pairs have the full number of edits, of mixed kinds, insertions, deletions or substitutions only. For a length
+   whose trials do not reach it in ``max_repeats`` repeats, all starts of step 1 are candidates of all its items, and nothing is lost.
+4. All starts of a run in which a candidate was met are verified: exact edit distances of the item to all windows that start there, which
+   may run up to the end of the text.
+
+Items are broadcast in blocks of at most ``block_words`` words; documents are read once, by the same tasks and without a
+shuffle, and pass one block after the other. Item ids may be of any type. Null texts and null items have no words; an item without words leaks nowhere.
+Repeated items with one id are variants of that item; items with a null id are not looked for. Repeated documents are judged each. Ties
+of the edit count go to the earliest window, then the shortest. Empty tables give empty results; long texts are taken whole. The column named by ``into``
+wins over an input column of that name.
 """
 
 from __future__ import annotations
@@ -40,20 +40,19 @@ from kinetrail.llm import common as c
 
 _WORD = np.zeros(256, bool)
 _WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-LEAK = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType()), T.StructField("start_word", T.IntegerType()), T.StructField("n_words", T.IntegerType())])
 
 
 @dataclass(frozen=True)
 class LeakPolicy:
     edit_share: float = 0.2
     recall: float = 0.99
-    #: sampled steps a repeat, and bound of the repeats
+    #: sampled steps a repeat, and repeats beyond which a length is scanned instead
     samples: int = 3
     max_repeats: int = 200
+    #: pairs by which the number of repeats is set
+    trials: int = 100
     seed: int = 11
     block_words: int = 1_000_000
-    #: windows of n - e to n + e words, all verified, instead of windows of n words by LSH
-    any_length: bool = False
 
     def edits(self, n: int) -> int:
         return int(self.edit_share * n + 1e-9)
@@ -102,34 +101,9 @@ def _salts(repeats: int, steps: int) -> np.ndarray:
     return c.mix(np.arange(1, repeats + 1, dtype=np.uint64)[:, None] * np.uint64(1_000_003) + np.arange(steps, dtype=np.uint64))
 
 
-def banded_matches(windows: np.ndarray, items: np.ndarray, e: int) -> np.ndarray:
+def wide_matches(windows: np.ndarray, item: np.ndarray, e: int) -> np.ndarray:
     """For each window, the words that the item has at most e places away, or the words of the item that the window has
     so, whichever are fewer."""
-    n = windows.shape[1]
-    found, back = np.zeros(windows.shape, bool), np.zeros(windows.shape, bool)
-    for shift in range(-min(e, n - 1), min(e, n - 1) + 1):
-        low, high = max(0, -shift), min(n, n - shift)
-        same = windows[:, low:high] == items[:, low + shift : high + shift]
-        found[:, low:high] |= same
-        back[:, low + shift : high + shift] |= same
-    return np.minimum(found.sum(axis=1), back.sum(axis=1))
-
-
-def edit_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Levenshtein distances of the rows of two arrays of symbols."""
-    m, n = left.shape[1], right.shape[1]
-    step = np.arange(n + 1, dtype=np.int32)
-    row = np.tile(step, (len(left), 1))
-    for i in range(m):
-        new = np.empty_like(row)
-        new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, 1:] + 1, row[:, :-1] + (left[:, i : i + 1] != right))
-        row = np.minimum.accumulate(new - step, axis=1) + step
-    return row[:, -1]
-
-
-def wide_matches(windows: np.ndarray, item: np.ndarray, e: int) -> np.ndarray:
-    """``banded_matches`` of windows that may be longer than the item."""
     width, n = windows.shape[1], len(item)
     found, back = np.zeros(windows.shape, bool), np.zeros((len(windows), n), bool)
     for shift in range(-min(e, n - 1), min(e, width - 1) + 1):
@@ -152,199 +126,190 @@ def prefix_distances(windows: np.ndarray, item: np.ndarray) -> np.ndarray:
     return row
 
 
+def leak_type(item_key: T.DataType) -> T.StructType:
+    numbers = [T.StructField(x, T.IntegerType()) for x in ("edits", "start_word", "n_words")]
+    return T.StructType([T.StructField("item_id", item_key), *numbers])
+
+
+def word_pairs(symbols: np.ndarray) -> np.ndarray:
+    """Hashes of neighbouring words."""
+    return c.mix(symbols[:-1] * np.uint64(0x9FB21C651E98DF25) + symbols[1:])
+
+
+def edited(item: np.ndarray, edits: int, kind: int, random: np.random.Generator) -> np.ndarray:
+    """item after so many random edits; kind 0: mixed, 1: substitutions, 2: insertions, 3: deletions."""
+    out = item.tolist()
+    for _ in range(edits):
+        what = kind or int(random.integers(1, 4))
+        place, new = int(random.integers(max(1, len(out)))), int(random.integers(1, 1 << 62))
+        if what == 2 or not out:
+            out.insert(place, new)
+        elif what == 1:
+            out[place] = new
+        else:
+            del out[place]
+    return np.array(out, np.uint64)
+
+
+class LengthIndex:
+    """LSH tables of the items of one length."""
+
+    def __init__(self, members: list[int], sequences: list[np.ndarray], policy: LeakPolicy):
+        self.members, self.n = members, len(sequences[members[0]])
+        self.e = policy.edits(self.n)
+        pairs = self.n - 1 - 2 * self.e
+        #: a window's known pairs (or words) at least, and the places they may be spread over
+        self.by_pairs = pairs > 0
+        self.need, self.span = (pairs, self.n + self.e - 1) if self.by_pairs else (max(1, self.n - self.e), self.n + self.e)
+        self.steps = self._plan([sequences[k] for k in members], policy)
+        self.table: tuple[np.ndarray, np.ndarray] | None = None
+        if self.steps is not None:
+            keys = walk_keys(np.stack([sequences[k] for k in members]), self.steps)
+            order = np.argsort(keys, axis=1)
+            self.table = np.take_along_axis(keys, order, 1), np.array(members)[order]
+
+    def _plan(self, items: list[np.ndarray], policy: LeakPolicy) -> np.ndarray | None:
+        """Sampled steps of as many repeats as the target recall takes; None: out of reach."""
+        n, e = self.n, self.e
+        random = np.random.default_rng([policy.seed, n])
+        widths = [2 * n >> k for k in range(2 * n) if 2 * n >> k > policy.samples] or [policy.samples + 1]
+        steps = np.stack([random.integers(0, widths[r % len(widths)], policy.samples) for r in range(policy.max_repeats)])
+        if not e:
+            return steps[:1]
+        left, right = [], []
+        for i in range(policy.trials):
+            item = items[i % len(items)]
+            around = random.integers(1, 1 << 62, 2 * n + 2 * e + 4).astype(np.uint64)
+            body = np.concatenate([around[:1], edited(item, e, i % 4, random), around[1:]])
+            left.append(item)
+            right += [body[k : k + n] for k in range(3)]
+        own = walk_keys(np.stack(left), steps)
+        met = (walk_keys(np.stack(right), steps).reshape(len(steps), policy.trials, 3) == own[:, :, None]).any(axis=2)
+        share = np.maximum.accumulate(met, axis=0).mean(axis=1)
+        enough = np.flatnonzero(share >= policy.recall)
+        return steps[: 2 * (int(enough[0]) + 1)] if len(enough) else None
+
+    def met(self, shown: np.ndarray) -> list[tuple[int, int]]:
+        """(row of shown, item) of equal keys in any repeat."""
+        if self.table is None:
+            return [(w, k) for w in range(len(shown)) for k in self.members]
+        out: set[tuple[int, int]] = set()
+        for probe, known, owner in zip(walk_keys(shown, self.steps), *self.table, strict=True):
+            low, high = np.searchsorted(known, probe, "left"), np.searchsorted(known, probe, "right")
+            for w in np.flatnonzero(high > low).tolist():
+                out.update((w, k) for k in owner[low[w] : high[w]].tolist())
+        return sorted(out)
+
+
 class ItemIndex:
     """LSH tables of a block of items. Built on the driver, sent to the workers."""
 
-    def __init__(self, ids: list[int], sequences: list[np.ndarray], policy: LeakPolicy):
-        self.policy, self.ids, self.sequences = policy, np.array(ids, np.int64), sequences
-        self.by_length: dict[int, list[int]] = defaultdict(list)
+    def __init__(self, ids: list, sequences: list[np.ndarray], policy: LeakPolicy):
+        self.ids, self.sequences = ids, sequences
+        by_length: dict[int, list[int]] = defaultdict(list)
         for k, s in enumerate(sequences):
-            self.by_length[len(s)].append(k)
-        flat = np.concatenate(sequences) if sequences else np.empty(0, np.uint64)
-        holder = np.repeat(np.arange(len(sequences)), [len(s) for s in sequences])
-        pairs = sorted({(int(w), int(k)) for w, k in zip(flat, holder, strict=True)})
-        self.vocabulary = np.array(sorted({w for w, _ in pairs}), np.uint64)
-        #: the one item that has the word, or -1 if several have it
-        self.single = np.full(len(self.vocabulary), -2, np.int64)
-        for w, k in pairs:
-            i = int(np.searchsorted(self.vocabulary, np.uint64(w)))
-            self.single[i] = k if self.single[i] == -2 else -1
-        self.maybe = np.zeros(1 << 18, bool)
-        self.maybe[(self.vocabulary >> np.uint64(46)).astype(np.int64)] = True
-        shared = [int((self.single[np.searchsorted(self.vocabulary, s)] == -1).sum()) for s in sequences]
-        #: the vocabulary places of each item's words
-        self.places = [np.unique(np.searchsorted(self.vocabulary, s)) for s in sequences]
-        #: items that windows without any word of their own could be close to
-        self.common = {k for k, s in enumerate(sequences) if shared[k] >= len(s) - policy.edits(len(s))}
+            by_length[len(s)].append(k)
+        self.lengths = [LengthIndex(by_length[n], sequences, policy) for n in sorted(by_length)]
+        self.known = {kind: self._vocabulary(kind) for kind in (True, False)}
         #: a symbol that no item has, for places beyond the end of a text
-        self.absent = next(x for x in range(len(self.vocabulary) + 1) if x == len(self.vocabulary) or int(self.vocabulary[x]) != x)
-        self.steps, self.tables = {}, {}
-        if policy.any_length:
-            return
-        random = np.random.default_rng(policy.seed)
-        for n, members in sorted(self.by_length.items()):
-            self.steps[n] = self._plan(n, members, random)
-            keys = walk_keys(np.stack([sequences[k] for k in members]), self.steps[n])
-            order = np.argsort(keys, axis=1)
-            self.tables[n] = (np.take_along_axis(keys, order, 1), np.array(members)[order])
-
-    def _plan(self, n: int, members: list[int], random: np.random.Generator) -> np.ndarray:
-        """Sampled steps of as many repeats as the target recall takes for pairs at the largest distance allowed."""
-        policy, e = self.policy, self.policy.edits(n)
-        trials = 48
-        base = [self.sequences[members[i % len(members)]] for i in range(trials)]
-        left, right = [], []
-        for s in base:
-            edited = list(s)
-            for _ in range(e):
-                kind, place = int(random.integers(3)), int(random.integers(max(1, len(edited))))
-                if kind == 0 and edited:
-                    edited[place] = np.uint64(random.integers(1, 1 << 62))
-                elif kind == 1:
-                    edited.insert(place, np.uint64(random.integers(1, 1 << 62)))
-                elif edited:
-                    del edited[place]
-            edited = (edited + [np.uint64(random.integers(1, 1 << 62)) for _ in range(n)])[:n]
-            left.append(s)
-            right.append(np.array(edited, np.uint64))
-        steps = random.integers(0, max(1, 2 * n), size=(policy.max_repeats, policy.samples))
-        met = walk_keys(np.stack(left), steps[:40]) == walk_keys(np.stack(right), steps[:40])
-        rate = min(1.0, max(float(met.mean()), 1e-3))
-        repeats = 1 if rate == 1 else int(np.ceil(np.log(1 - policy.recall) / np.log(1 - rate)))
-        return steps[: max(1, min(policy.max_repeats, repeats))]
-
-    def find(self, symbols: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        taken = {int(x) for s in sequences for x in s}
+        self.absent = next(x for x in range(len(taken) + 1) if x not in taken)
+
+    def _vocabulary(self, by_pairs: bool) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]] | None:
+        """Known pairs (or words), a table of their upper bits, and which of them each length has."""
+        of = [np.unique(np.concatenate([word_pairs(self.sequences[k]) if by_pairs else self.sequences[k] for k in x.members])) for x in self.lengths if x.by_pairs == by_pairs]
+        if not of:
+            return None
+        every = np.unique(np.concatenate(of))
+        maybe = np.zeros(1 << 20, bool)
+        maybe[(every >> np.uint64(44)).astype(np.int64)] = True
+        return every, maybe, [np.isin(every, x, assume_unique=True) for x in of]
+
+    def find(self, symbols: np.ndarray, first: np.ndarray) -> list[tuple[int, object, int, int, int]]:
         """(text, item, edits, start word, words) of the leaks in a chunk of texts, the best window of each text and item."""
-        if not len(self.vocabulary) or not len(symbols):
-            return []
-        known_as = np.full(len(symbols), len(self.vocabulary), np.int64)
-        at = np.flatnonzero(self.maybe[(symbols >> np.uint64(46)).astype(np.int64)])
-        place = np.minimum(np.searchsorted(self.vocabulary, symbols[at]), len(self.vocabulary) - 1)
-        real = self.vocabulary[place] == symbols[at]
-        known_as[at[real]] = place[real]
-        known = np.concatenate([[0], np.cumsum(known_as < len(self.vocabulary))])
         best: dict[tuple[int, int], tuple[int, int, int]] = {}
         text = c.owners(first)
-        if self.policy.any_length:
-            place, end = np.arange(len(symbols)), first[text + 1]
-            for n in self.by_length:
-                e = self.policy.edits(n)
-                need = max(1, n - e)
-                starts = np.flatnonzero((known[np.minimum(place + n + e, end)] - known[:-1] >= need) & (end - place >= need))
-                if len(starts):
-                    self._verify_lengths(symbols, first, text, known_as, n, starts, best)
-            return [(t, k, *best[t, k]) for t, k in sorted(best)]
-        for n in self.by_length:
-            m = len(symbols) - n + 1
-            if n == 0 or m <= 0:
+        for by_pairs, known in self.known.items():
+            if known is None or not len(symbols):
                 continue
-            need = n - self.policy.edits(n)
-            windows = np.flatnonzero(known[n:] - known[:-n] >= need)
-            windows = windows[text[windows] == text[windows + n - 1]]
-            if len(windows):
-                self._verify(symbols, first, text, known_as, n, windows, best)
-        return [(t, k, *best[t, k]) for t, k in sorted(best)]
-
-    def _verify(self, symbols, first, text, known_as, n, windows, best) -> None:
-        e = self.policy.edits(n)
-        # the words of the candidate windows, packed together; windows keep their places by an offset
-        region = np.flatnonzero(c.covered(windows, n, len(symbols)))
-        packed = known_as[region]
-        start = np.searchsorted(region, windows)
-        holders = np.append(self.single, -3)[packed]
-        present = set(np.unique(holders[holders >= 0]).tolist()) | self.common
-        mine = np.zeros(len(self.vocabulary) + 1, bool)
-        allowed: dict[int, set[int]] = {}
-        wide = np.arange(n)
-        for k in self.by_length[n]:
-            if k in present:
-                mine[self.places[k]] = True
-                own = np.concatenate([[0], np.cumsum(mine[packed])])
-                mine[self.places[k]] = False
-                near = windows[own[start + n] - own[start] >= n - e]
-                for block in range(0, len(near), 8192):
-                    part = near[block : block + 8192]
-                    close = part[banded_matches(symbols[part[:, None] + wide], self.sequences[k][None, :], e) >= n - e]
-                    if len(close):
-                        allowed.setdefault(k, set()).update(close.tolist())
-        if not allowed:
-            return
-        starts = np.array(sorted(set().union(*allowed.values())))
-        shown = symbols[starts[:, None] + wide]
-        met: set[tuple[int, int]] = set()
-        keys, holders = self.tables[n]
-        for probe, known, owner in zip(walk_keys(shown, self.steps[n]), keys, holders, strict=True):
-            low, high = np.searchsorted(known, probe, "left"), np.searchsorted(known, probe, "right")
-            for w in np.flatnonzero(high > low):
-                for k in owner[low[w] : high[w]].tolist():
-                    if int(starts[w]) in allowed.get(k, ()):
-                        met.add((k, int(starts[w])))
-        if not met:
-            return
-        pairs = sorted({(k, p) for k, w in met for p in range(max(int(first[text[w]]), w - e), min(int(first[text[w] + 1]) - n, w + e) + 1)})
-        for block in range(0, len(pairs), 4096):
-            part = pairs[block : block + 4096]
-            spots = np.array([p for _, p in part])
-            far = edit_distances(symbols[spots[:, None] + np.arange(n)], np.stack([self.sequences[k] for k, _ in part]))
-            for (k, p), d in zip(part, far.tolist(), strict=True):
-                if d <= e:
-                    t = int(text[p])
-                    key, value = (t, int(self.ids[k])), (d, p - int(first[t]), n)
-                    if key not in best or value < best[key]:
-                        best[key] = value
-
-
-    def _verify_lengths(self, symbols, first, text, known_as, n, starts, best) -> None:
-        """The best of all windows of n - e to n + e words at each start, which may run up to the end of its text."""
-        e = self.policy.edits(n)
+            every, maybe, has = known
+            values = word_pairs(symbols) if by_pairs else symbols
+            at = np.flatnonzero(maybe[(values >> np.uint64(44)).astype(np.int64)])
+            if by_pairs:
+                at = at[text[at] == text[at + 1]]
+            place = np.minimum(np.searchsorted(every, values[at]), len(every) - 1)
+            real = every[place] == values[at]
+            at, place = at[real], place[real]
+            for index, own in zip((x for x in self.lengths if x.by_pairs == by_pairs), has, strict=True):
+                starts, run = runs_with(at[own[place]], index.need, index.span, text, first)
+                if len(starts):
+                    self._search(index, symbols, first[text[starts] + 1], starts, run, text, best)
+        out: dict[tuple[int, object], tuple[int, int, int]] = {}
+        for (t, k), (edits, p, size) in best.items():
+            key, value = (t, self.ids[k]), (edits, p - int(first[t]), size)
+            if key not in out or value < out[key]:
+                out[key] = value
+        return [(*key, *value) for key, value in out.items()]
+
+    def _windows(self, symbols, starts, stops, width) -> np.ndarray:
+        at = starts[:, None] + np.arange(width)
+        shown = symbols[np.minimum(at, len(symbols) - 1)]
+        shown[at >= stops[:, None]] = self.absent
+        return shown
+
+    def _search(self, index: LengthIndex, symbols, stops, starts, run, text, best) -> None:
+        candidates: set[tuple[int, int]] = set()
+        for block in range(0, len(starts), 2048):
+            part = slice(block, block + 2048)
+            candidates.update((int(run[block + w]), k) for w, k in index.met(self._windows(symbols, starts[part], stops[part], index.n)))
+        n, e = index.n, index.e
         need = max(1, n - e)
-        stops = np.minimum(starts + n + e, first[text[starts] + 1])
-        edge = np.zeros(len(symbols) + 1, np.int64)
-        edge[starts] += 1
-        np.subtract.at(edge, stops, 1)
-        region = np.flatnonzero(np.cumsum(edge[:-1]))
-        packed = known_as[region]
-        low = np.searchsorted(region, starts)
-        high = low + stops - starts
-        holders = np.append(self.single, -3)[packed]
-        present = set(np.unique(holders[holders >= 0]).tolist()) | self.common
-        mine = np.zeros(len(self.vocabulary) + 1, bool)
-        wide = np.arange(n + e)
-        for k in self.by_length[n]:
-            if k not in present:
-                continue
+        for r, k in sorted(candidates):
+            low, high = np.searchsorted(run, r, "left"), np.searchsorted(run, r, "right")
             item = self.sequences[k]
-            mine[self.places[k]] = True
-            own = np.concatenate([[0], np.cumsum(mine[packed])])
-            mine[self.places[k]] = False
-            near = np.flatnonzero(own[high] - own[low] >= need)
-            for block in range(0, len(near), 4096):
-                part = near[block : block + 4096]
-                at = starts[part][:, None] + wide
-                shown = symbols[np.minimum(at, len(symbols) - 1)]
-                shown[at >= stops[part][:, None]] = self.absent
-                close = wide_matches(shown, item, e) >= need
-                if not close.any():
+            for block in range(low, high, 2048):
+                part = slice(block, min(high, block + 2048))
+                shown = self._windows(symbols, starts[part], stops[part], n + e)
+                close = np.flatnonzero(wide_matches(shown, item, e) >= need)
+                if not len(close):
                     continue
-                part = part[close]
                 far = prefix_distances(shown[close], item)[:, need:]
-                far[np.arange(need, n + e + 1) > (stops - starts)[part][:, None]] = n + e + 1
+                far[np.arange(need, n + e + 1) > (stops[part] - starts[part])[close][:, None]] = n + e + 1
                 size = far.argmin(axis=1)  # the shortest of equals
-                least = far[np.arange(len(part)), size]
+                least = far[np.arange(len(close)), size]
                 for i in np.flatnonzero(least <= e).tolist():
-                    p = int(starts[part[i]])
-                    t = int(text[p])
-                    key, value = (t, int(self.ids[k])), (int(least[i]), p - int(first[t]), need + int(size[i]))
+                    p = int(starts[part][close[i]])
+                    key, value = (int(text[p]), k), (int(least[i]), p, need + int(size[i]))
                     if key not in best or value < best[key]:
                         best[key] = value
 
 
+def runs_with(at: np.ndarray, need: int, span: int, text: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts p of which the places p to p + span - 1 of one text hold ``need`` of the sorted places ``at``, and the run of each:
+    starts that follow each other in one text."""
+    none = np.empty(0, np.int64)
+    if len(at) < need:
+        return none, none
+    low, high = at[: len(at) - need + 1], at[need - 1 :]
+    good = (high - low < span) & (text[low] == text[high])
+    low, high = low[good], high[good]
+    if not len(low):
+        return none, none
+    begin = np.maximum(first[text[low]], high - span + 1)
+    new = np.ones(len(low), bool)
+    new[1:] = (begin[1:] > low[:-1] + 1) | (text[low[1:]] != text[low[:-1]])
+    head = np.flatnonzero(new)
+    begin, size = begin[head], low[np.append(head[1:], len(low)) - 1] + 1 - begin[head]
+    run = np.repeat(np.arange(len(head)), size)
+    return np.arange(len(run)) + np.repeat(begin - np.cumsum(size) + size, size), run
+
+
 def item_blocks(items: DataFrame, key: str, text: str, policy: LeakPolicy) -> Iterator[ItemIndex]:
     """Indexes over blocks of items of bounded size, streamed to the driver in the order of their ids."""
-    ids: list[int] = []
+    ids: list = []
     sequences: list[np.ndarray] = []
     held = 0
-    for row in items.where(items[key].isNotNull()).select(items[key].cast("bigint").alias("id"), items[text].alias("text")).orderBy("id", "text").toLocalIterator():
+    for row in items.where(items[key].isNotNull()).select(items[key].alias("id"), items[text].alias("text")).orderBy("id", "text").toLocalIterator():
         raw = (row.text or "").encode()
         symbols, _ = normal_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
         if not len(symbols):
@@ -360,11 +325,11 @@ def item_blocks(items: DataFrame, key: str, text: str, policy: LeakPolicy) -> It
 
 def with_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id", item_text: str = "text", into: str = "leaks", policy: LeakPolicy | None = None) -> DataFrame:
     """docs with the array column ``into``: (item_id, edits, start_word, n_words) for each leaked item, by item id."""
-    policy = policy or LeakPolicy(any_length=True)
+    policy = policy or LeakPolicy()
     spark = docs.sparkSession
     kept = [x for x in docs.columns if x != into]
     row, found = "__row__", "__found__"
-    out = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias(row), F.array().cast(T.ArrayType(LEAK)).alias(found))
+    out = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias(row), F.array().cast(T.ArrayType(leak_type(items.schema[item_key].dataType))).alias(found))
     schema = out.schema
     for index in item_blocks(items, item_key, item_text, policy):
         out = out.mapInArrow(_scan(spark.sparkContext.broadcast(index), text), schema)

@@ -84,16 +84,6 @@ def test_classifier_learns(spark):
     assert {r.score for r in quality_classifier.score(docs, none).collect()} == {0.5}
 
 
-def plain_distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        new = [i]
-        for j, y in enumerate(b, 1):
-            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
-        row = new
-    return row[-1]
-
-
 def normal(text):
     out, word = [], ""
     for ch in text or "":
@@ -126,27 +116,17 @@ def test_leaks(spark):
             texts.append(f"{around[0]} {' '.join(words).upper() if k % 2 else ', '.join(words)} {around[1]}")
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, leaks string")
     bench = spark.createDataFrame(items, "item_id long, text string")
-    want = {}
-    for i, t in enumerate(texts):
-        words = normal(t)
-        for k, item in items:
-            wanted = normal(item)
-            n = len(wanted)
-            if k is None or not n:
-                continue
-            found = [(plain_distance(words[s : s + n], wanted), s) for s in range(len(words) - n + 1)]
-            best = min(found, default=(n, 0))
-            if best[0] <= int(0.2 * n + 1e-9):
-                want[i, k] = best
-    policy = decontaminate.LeakPolicy(recall=0.9999)
+    want = plain_leaks(texts, items)
     for block in (10**6, 20):
-        policy = decontaminate.LeakPolicy(recall=0.9999, block_words=block)
-        got = {(r.doc_id, r.item_id): (r.edits, r.start_word) for r in decontaminate.leaks(docs, bench, policy=policy).collect()}
-        assert set(got) <= set(want)
-        assert len(got) >= 0.97 * len(want) and all(got[x][0] == want[x][0] for x in got)
-        assert {x for x, (d, _) in want.items() if d == 0} <= set(got)
+        policy = decontaminate.LeakPolicy(block_words=block)
+        got = {(r.doc_id, r.item_id): (r.edits, r.start_word, r.n_words) for r in decontaminate.leaks(docs, bench, policy=policy).collect()}
+        assert got == want
+    named = bench.selectExpr("concat('item ', item_id) AS item_id", "text")  # ids of another type
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, named).collect()} == {(i, f"item {k}") for i, k in want}
+    twice = decontaminate.leaks(docs.unionByName(docs), bench).groupBy("doc_id", "item_id").count().collect()
+    assert {(r.doc_id, r.item_id): r["count"] for r in twice} == dict.fromkeys(want, 2)
     kept = decontaminate.clean(docs, bench)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()}.isdisjoint({i for i, _ in got})
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()}.isdisjoint({i for i, _ in want})
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0 and decontaminate.leaks(docs.limit(0), bench).count() == 0
 
 
@@ -169,22 +149,29 @@ def test_leaks_of_other_lengths(spark):
                 texts += [" ".join(words), f"{around[0]} {' '.join(words)} {around[1]}"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
     bench = spark.createDataFrame([*items, (9, None)], "item_id long, text string")
-    want, plain = {}, 0
+    want = plain_leaks(texts, items)
+    got = {(r.doc_id, r.item_id): (r.edits, r.start_word, r.n_words) for r in decontaminate.leaks(docs, bench).collect()}
+    assert got == want
+    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
+
+
+def plain_leaks(texts, items, share=0.2):
+    """(document, item) and the least (edits, start, words) over all windows."""
+    want = {}
     for i, t in enumerate(texts):
         words = normal(t)
         for k, item in items:
             wanted = normal(item)
-            n, e = len(wanted), int(0.2 * len(wanted) + 1e-9)
+            n, e = len(wanted), int(share * len(wanted) + 1e-9)
+            if k is None or not n:
+                continue
             found = []
             for s in range(len(words)):
                 ends = prefix_row(wanted, words[s : s + n + e])
                 found += [(ends[m], s, m) for m in range(max(1, n - e), len(ends))]
             if found and min(found)[0] <= e:
                 want[i, k] = min(found)
-                plain += any(d <= e and m == n for d, _, m in found)
-    got = {(r.doc_id, r.item_id): (r.edits, r.start_word, r.n_words) for r in decontaminate.leaks(docs, bench).collect()}
-    assert got == want and plain < len(want)
-    assert {r.doc_id for r in decontaminate.clean(docs, bench).collect()} == set(range(len(texts))) - {i for i, _ in want}
+    return want
 
 
 def prefix_row(a, b):
@@ -198,9 +185,25 @@ def prefix_row(a, b):
     return row
 
 
-def test_edit_distances():
+def test_prefix_distances():
     random.seed(1)
-    a = [[random.randint(0, 3) for _ in range(9)] for _ in range(50)]
-    b = [[random.randint(0, 3) for _ in range(9)] for _ in range(50)]
-    got = decontaminate.edit_distances(np.array(a), np.array(b))
-    assert got.tolist() == [plain_distance(x, y) for x, y in zip(a, b, strict=True)]
+    rows = [[random.randint(0, 3) for _ in range(11)] for _ in range(50)]
+    item = [random.randint(0, 3) for _ in range(9)]
+    assert decontaminate.prefix_distances(np.array(rows), np.array(item)).tolist() == [prefix_row(item, x) for x in rows]
+
+
+@pytest.mark.parametrize("n", [10, 50, 200, 500, 800])
+def test_recall_of_the_default_policy(n):
+    """Passages with the full number of edits, of mixed kinds or of one kind, inside other text; items that others look like."""
+    rng = np.random.default_rng(n)
+    policy, trials = decontaminate.LeakPolicy(), 60 if n <= 200 else 24
+    items = [rng.integers(1, 3000, n).astype(np.uint64) for _ in range(8)]
+    items += [np.where(rng.random(n) < 0.5, x, rng.integers(1, 3000, n).astype(np.uint64)) for x in items[:4]]
+    index = decontaminate.ItemIndex(list(range(len(items))), items, policy)
+    found = 0
+    for i in range(trials):
+        body = decontaminate.edited(items[i % 8], policy.edits(n), i % 4, rng)
+        text = np.concatenate([rng.integers(1, 3000, 30), body, rng.integers(1, 3000, 30)]).astype(np.uint64)
+        hits = index.find(text, np.array([0, len(text)]))
+        found += any(k == i % 8 and edits <= policy.edits(n) for _, k, edits, _, _ in hits)
+    assert found >= 0.97 * trials
