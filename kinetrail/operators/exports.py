@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinetrail.functions.scalar import spaced, stable_id
 from kinetrail.operators.curation import reasons
+from kinetrail.operators.selection import stop_where
 
 # --- vectors for a target -----------------------------------------------------------------------
 
@@ -106,13 +107,16 @@ def decoded_frames(chunks: Column, block: int = 2, stride: int = 4) -> Column:
 
 # --- training cases ---------------------------------------------------------------------------------
 
-STATE_STEPS, ACTION_STEPS, TARGET_FPS, SLOTS, CAMERAS = 81, 80, 20.0, 80, 5
+STATE_STEPS, ACTION_STEPS, TARGET_FPS, SLOTS = 81, 80, 20.0, 80
+# The five camera slots in order.
+CAMERA_ROLES = ("global_primary", "global_secondary", "left_wrist", "right_wrist", "auxiliary")
 
 
 def case_failures(cases: DataFrame) -> DataFrame:
     """cases with the sorted codes of their contract that fail; none for a case that may be used.
 
-    Columns: target_fps, state_steps, action_steps, state_slot_mask, action_slot_mask, camera_mask (arrays), canonical_uri, start_count, mode, action_loss.
+    Columns: target_fps, state_steps, action_steps, video_offsets, state_slot_mask, action_slot_mask, camera_roles, camera_indices, camera_mask (arrays),
+    canonical_uri, start_count, mode, action_loss.
     What is null fails."""
 
     def no(condition: Column) -> Column:
@@ -125,7 +129,9 @@ def case_failures(cases: DataFrame) -> DataFrame:
         (no(F.col("action_steps") == ACTION_STEPS), "action_steps_must_be_80"),
         (no(F.size("state_slot_mask") == SLOTS), "state_slot_mask_must_have_80_dimensions"),
         (no(F.size("action_slot_mask") == SLOTS), "action_slot_mask_must_have_80_dimensions"),
-        (no(F.size("camera_mask") == CAMERAS), "camera_roles_must_match_fixed_five_slots"),
+        (no(F.col("video_offsets") == F.array(*[F.lit(x) for x in range(0, STATE_STEPS, 4)])), "video_offsets_must_be_0_to_80_stride_4"),
+        (no(F.col("camera_roles") == F.array(*[F.lit(x) for x in CAMERA_ROLES])), "camera_roles_must_match_fixed_five_slots"),
+        (no(F.col("camera_indices") == F.array(*[F.lit(x) for x in range(len(CAMERA_ROLES))])), "camera_slot_indices_invalid"),
         (no(F.exists("camera_mask", lambda x: x)), "no_valid_camera_slot"),
         (no(F.col("canonical_uri") != ""), "canonical_parquet_missing"),
         (no(F.col("start_count") > 0), "no_valid_starts"),
@@ -151,25 +157,29 @@ def expand_cases(cases: DataFrame, key: str = "case_id") -> DataFrame:
 # --- report gates ------------------------------------------------------------------------------------
 
 
-def gates(records: DataFrame, run: str, least_psnr: float = 3.0, least_ssim: float = 0.05, most_ratio: float = 0.5) -> DataFrame:
-    """Every later step of a run against its step 0: gains, five gates and whether all pass. The action gate counts only where both
-    steps have the metric. records: (run, step, sample, psnr, ssim, action_l1, memory_ratio); one step 0 a run, a grouped join."""
-    base = records.where("step = 0").select(run, *[F.col(x).alias(f"__{x}__") for x in ("sample", "psnr", "ssim", "action_l1")])
-    both = records.where("step > 0").join(base, run)
-    ratio = F.col("action_l1") / F.greatest(F.col("__action_l1__"), F.lit(1e-12))
-    out = both.select(
+def gates(records: DataFrame, run: str, baseline: DataFrame | None = None, least_psnr: float = 3.0, least_ssim: float = 0.05, most_ratio: float = 0.5) -> DataFrame:
+    """Every candidate of a run against its baseline: gains, five gates and whether all pass. The action gate counts only where both
+    have the metric.
+
+    records and baseline: (run, step, sample_index, window_start, psnr, ssim, action_l1, memory_ratio). Without a baseline table (a row a run)
+    a run's first record by step is its baseline and the others are candidates. The query fails for a baseline that is not at step 0."""
+    fields = ("step", "sample_index", "window_start", "psnr", "ssim", "action_l1")
+    if baseline is None:
+        w = Window.partitionBy(run).orderBy("step", "sample_index", "window_start", "psnr")  # evaluations of one run: few
+        rows = records.withColumn("base", F.first(F.struct(*fields)).over(w)).withColumn("__r__", F.row_number().over(w))
+    else:
+        rows = records.join(baseline.select(run, F.struct(*fields).alias("base")), run).withColumn("__r__", F.lit(2))
+    rows = stop_where(rows, F.col("base.step") != 0, F.concat(F.lit("no baseline at step 0: run "), F.col(run).cast("string"))).where("__r__ > 1")
+    same = lambda c: F.coalesce(c, F.lit(-1)) == F.coalesce(F.col(f"base.{c}"), F.lit(-1))
+    ratio = F.col("action_l1") / F.greatest(F.col("base.action_l1"), F.lit(1e-12))
+    out = rows.select(
         run,
         "step",
-        (F.col("psnr") - F.col("__psnr__")).alias("psnr_gain"),
-        (F.col("ssim") - F.col("__ssim__")).alias("ssim_gain"),
-        F.when(F.col("__action_l1__").isNotNull(), ratio).alias("action_ratio"),
-        F.col("sample").eqNullSafe(F.col("__sample__")).alias("same_sample"),
+        (F.col("psnr") - F.col("base.psnr")).alias("psnr_gain"),
+        (F.col("ssim") - F.col("base.ssim")).alias("ssim_gain"),
+        F.when(F.col("base.action_l1").isNotNull(), ratio).alias("action_ratio"),
+        (same("sample_index") & same("window_start")).alias("same_sample"),
         F.coalesce(F.col("memory_ratio") >= 0.999, F.lit(False)).alias("memory_valid"),
     )
     ok = F.col("same_sample") & F.col("memory_valid") & (F.col("psnr_gain") >= least_psnr) & (F.col("ssim_gain") >= least_ssim) & F.coalesce(F.col("action_ratio") <= most_ratio, F.lit(True))
     return out.withColumn("passed", ok)
-
-
-def normalized(cases: DataFrame, statistics: DataFrame, key: str = "domain") -> DataFrame:
-    """Cases that lack the statistics of their domain; there must be none before values are normalised."""
-    return cases.join(statistics.select(key).distinct(), key, "left_anti")

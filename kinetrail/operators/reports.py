@@ -11,18 +11,22 @@ from kinetrail.functions.scalar import unit_hash
 
 
 def status(lock: DataFrame, marker: DataFrame, present: DataFrame, key: str) -> DataFrame:
-    """lock ⟕ marker ⟕ present by key: complete, stale (another revision), partial (files without a marker) or missing.
+    """lock ⟕ marker ⟕ present by key, with a word for each repository; the first that applies: missing (no folder), complete (marker ok at the
+    locked revision), partial (unfinished files), failed, interrupted_or_running, present_untracked.
 
-    lock: (key, revision); marker: (key, done_revision); present: (key)."""
-    joined = lock.join(marker, key, "left").join(present.select(key, F.lit(True).alias("__here__")).distinct(), key, "left")
-    here = F.coalesce("__here__", F.lit(False))
+    lock: (key, revision); marker: (key, marker_status, marker_revision); present: (key, incomplete), the number of unfinished files."""
+    here = present.groupBy(key).agg(F.sum(F.coalesce("incomplete", F.lit(0))).alias("incomplete"))
+    joined = lock.join(marker, key, "left").join(here, key, "left")
+    said = F.col("marker_status")
     word = (
-        F.when(F.col("done_revision").isNotNull() & (F.col("done_revision") == F.col("revision")) & here, "complete")
-        .when(F.col("done_revision").isNotNull() & here, "stale")
-        .when(here, "partial")
-        .otherwise("missing")
+        F.when(F.col("incomplete").isNull(), "missing")
+        .when((said == "ok") & (F.col("marker_revision") == F.col("revision")), "complete")
+        .when(F.col("incomplete") > 0, "partial")
+        .when(said.isNotNull() & ~said.isin("ok", "running"), "failed")
+        .when(said == "running", "interrupted_or_running")
+        .otherwise("present_untracked")
     )
-    return joined.withColumn("status", word).drop("__here__")
+    return joined.withColumn("status", word)
 
 
 def verify(expected: DataFrame, local: DataFrame, key: str, size: str) -> DataFrame:
@@ -118,11 +122,18 @@ def laplacian_variance(pixels: Column, width: int, height: int) -> Column:
     return (square - mean * mean) / (255.0 * 255.0)
 
 
-def difference_hash(pixels: Column, width: int, rows: int, columns: int) -> Column:
-    """Bits (least first) that say whether a pixel of a rows x columns grid is brighter than the next to its right."""
-    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(rows - 1)), lambda y: F.transform(F.sequence(F.lit(0), F.lit(columns - 2)), lambda x: y * width + x)))
-    bit = F.transform(cells, lambda i: F.when(F.get(pixels, i) > F.get(pixels, i + 1), F.lit(1)).otherwise(F.lit(0)).cast("bigint"))
-    return F.aggregate(F.zip_with(bit, F.sequence(F.lit(0), F.lit(rows * (columns - 1) - 1)), lambda b, i: b * F.pow(F.lit(2.0), i).cast("bigint")), F.lit(0).cast("bigint"), lambda s, v: s + v)
+def difference_hash(pixels: Column, width: int, height: int) -> Column:
+    """64 bits, the first the highest: on a grid of 8 rows and 9 columns over the whole image (places rounded half to even), is a pixel
+    brighter than the next to its right? As a bigint; ``hash_text`` gives its 16 hex digits."""
+    rows = [min(height - 1, round(y * (height - 1) / 7)) for y in range(8)]
+    columns = [min(width - 1, round(x * (width - 1) / 8)) for x in range(9)]
+    places = F.array(*[F.struct(F.lit(y * width + columns[x]).alias("l"), F.lit(y * width + columns[x + 1]).alias("r")) for y in rows for x in range(8)])
+    bit = lambda p: F.when(F.get(pixels, p["l"]) > F.get(pixels, p["r"]), F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    return F.aggregate(places, F.lit(0).cast("bigint"), lambda s, p: F.shiftleft(s, 1).bitwiseOR(bit(p)))
+
+
+def hash_text(code: Column) -> Column:
+    return F.lower(F.lpad(F.hex(code), 16, "0"))
 
 
 def frozen_pairs(frames: DataFrame, keys: list[str], order: str, pixels: str, code: str, difference: float = 0.002, distance: int = 1) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kinetrail.operators import exports as ex
@@ -58,6 +58,9 @@ def case_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_repeat(F.lit(True), 80).alias("state_slot_mask"),
         F.array_repeat(F.lit(True), F.when(k % 13 == 0, 79).otherwise(80).cast("int")).alias("action_slot_mask"),
         F.array_repeat(k % 3 == 0, 5).alias("camera_mask"),
+        F.sequence(F.lit(0), F.when(k % 19 == 0, 76).otherwise(80), F.lit(4)).alias("video_offsets"),
+        F.sequence(F.when(k % 23 == 0, 1).otherwise(0), F.when(k % 23 == 0, 5).otherwise(4)).alias("camera_indices"),
+        F.array(F.lit("global_primary"), F.lit("global_secondary"), F.lit("left_wrist"), F.when(k % 29 == 0, "wrist").otherwise("right_wrist"), F.lit("auxiliary")).alias("camera_roles"),
         F.when(k % 17 == 0, "").otherwise("uri").alias("canonical_uri"),
         (k % 4).alias("start_count"),
         F.when(k % 2 == 0, "joint_video_action").otherwise("video_only").alias("mode"),
@@ -73,9 +76,10 @@ def case_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of an order as evaluation steps, the first line as step 0."""
+    """Lines of an order as evaluation steps, counted from its first line."""
     lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_quantity").alias("q"), F.min("l_discount").alias("d"), F.min("l_tax").alias("t"), F.min("l_returnflag").alias("f"))
-    records = lines.select(F.col("l_orderkey").alias("run"), (F.col("l_linenumber") - 1).alias("step"), F.col("f").alias("sample"), F.col("q").alias("psnr"), F.col("d").alias("ssim"), F.when(F.col("t") > 0.02, F.col("t")).alias("action_l1"), F.lit(1.0).alias("memory_ratio"))
+    step = F.col("l_linenumber") - F.min("l_linenumber").over(Window.partitionBy("l_orderkey"))
+    records = lines.select(F.col("l_orderkey").alias("run"), step.alias("step"), F.ascii("f").alias("sample_index"), F.when(F.col("q") > 5, F.col("q").cast("int") % 2).alias("window_start"), F.col("q").alias("psnr"), F.col("d").alias("ssim"), F.when(F.col("t") > 0.02, F.col("t")).alias("action_l1"), F.when(F.col("q") > 3, 1.0).alias("memory_ratio"))
     return rounded(ex.gates(records, "run"))
 
 
@@ -108,13 +112,14 @@ ORACLE_SQL = {
 SELECT *, chunk // 3 * 3 AS segment_start, least(chunk // 3 * 3 + 3, chunks) AS segment_stop, CASE WHEN chunk > 0 THEN chunk // 3 * 6 END AS context_start, CASE WHEN chunk > 0 THEN 1 + chunk * 2 END AS context_stop,
  CASE WHEN chunk > 0 THEN start_frame + chunk * 8 - 3 ELSE start_frame END AS first_frame, start_frame + chunk * 8 AS last_frame, 1 + 8 * chunks AS decoded FROM c""",
     "case_contract": """SELECT o_orderkey, array_to_string(list_sort(list_filter([CASE WHEN k % 7 = 0 THEN 'target_fps_must_be_20' END, CASE WHEN k % 5 = 0 THEN 'state_steps_must_be_81' END, CASE WHEN k % 11 = 0 THEN 'action_steps_must_be_80' END,
- CASE WHEN k % 13 = 0 THEN 'action_slot_mask_must_have_80_dimensions' END, CASE WHEN k % 3 <> 0 THEN 'no_valid_camera_slot' END, CASE WHEN k % 17 = 0 THEN 'canonical_parquet_missing' END, CASE WHEN k % 4 = 0 THEN 'no_valid_starts' END,
+ CASE WHEN k % 13 = 0 THEN 'action_slot_mask_must_have_80_dimensions' END, CASE WHEN k % 19 = 0 THEN 'video_offsets_must_be_0_to_80_stride_4' END, CASE WHEN k % 23 = 0 THEN 'camera_slot_indices_invalid' END, CASE WHEN k % 29 = 0 THEN 'camera_roles_must_match_fixed_five_slots' END, CASE WHEN k % 3 <> 0 THEN 'no_valid_camera_slot' END, CASE WHEN k % 17 = 0 THEN 'canonical_parquet_missing' END, CASE WHEN k % 4 = 0 THEN 'no_valid_starts' END,
  CASE WHEN k % 2 = 0 AND k % 6 >= 3 THEN 'joint_mode_requires_action_loss' END, CASE WHEN k % 2 = 1 AND k % 6 < 3 THEN 'video_only_must_disable_action_loss' END], lambda x: x IS NOT NULL)), ',') AS failures FROM (SELECT o_orderkey, o_orderkey AS k FROM orders)""",
     "case_expand": """WITH c AS (SELECT c_custkey AS case_id, unnest(range(c_custkey % 5, c_custkey % 5 + 40 * (c_custkey % 3 + 1), 40)) AS a FROM customer)
 SELECT case_id, substr(sha256(case_id || chr(31) || a), 1, 24) AS concrete_case_id, a AS state_start, a + 81 AS state_stop, a + 80 AS action_stop, array_to_string(range(a, a + 81, 4), ',') AS video_frames FROM c""",
-    "report_gates": """WITH l AS (SELECT l_orderkey AS run, l_linenumber - 1 AS step, min(l_quantity) AS q, min(l_discount) AS d, CASE WHEN min(l_tax) > 0.02 THEN min(l_tax) END AS t, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2),
-g AS (SELECT a.run, a.step, a.q - b.q AS pg, a.d - b.d AS sg, CASE WHEN b.t IS NOT NULL THEN a.t / greatest(b.t, 1e-12) END AS ar, a.f = b.f AS same FROM l a JOIN l b ON a.run = b.run AND b.step = 0 WHERE a.step > 0)
-SELECT run, step, round(pg, 6) AS psnr_gain, round(sg, 6) AS ssim_gain, round(ar, 6) AS action_ratio, same AS same_sample, true AS memory_valid, same AND pg >= 3 AND sg >= 0.05 AND coalesce(ar <= 0.5, true) AS passed FROM g""",
+    "report_gates": """WITH l AS (SELECT l_orderkey AS run, l_linenumber, min(l_quantity) AS q, min(l_discount) AS d, CASE WHEN min(l_tax) > 0.02 THEN min(l_tax) END AS t, min(l_returnflag) AS f FROM lineitem GROUP BY 1, 2),
+n AS (SELECT *, l_linenumber - min(l_linenumber) OVER (PARTITION BY run) AS step, CASE WHEN q > 5 THEN q::INT % 2 ELSE -1 END AS w FROM l),
+g AS (SELECT a.run, a.step, a.q - b.q AS pg, a.d - b.d AS sg, CASE WHEN b.t IS NOT NULL THEN a.t / greatest(b.t, 1e-12) END AS ar, a.f = b.f AND a.w = b.w AS same, a.q > 3 AS mem FROM n a JOIN n b ON a.run = b.run AND b.step = 0 WHERE a.step > 0)
+SELECT run, step, round(pg, 6) AS psnr_gain, round(sg, 6) AS ssim_gain, round(ar, 6) AS action_ratio, same AS same_sample, mem AS memory_valid, same AND mem AND pg >= 3 AND sg >= 0.05 AND coalesce(ar <= 0.5, true) AS passed FROM g""",
     "target_channels": """SELECT vec_id, round(embedding[2]::DOUBLE, 5) AS c0, round(embedding[10]::DOUBLE, 5) AS c1, round(embedding[5]::DOUBLE, 5) AS c2, 0.0::DOUBLE AS c3, 0.0::DOUBLE AS c4, round(embedding[16]::DOUBLE, 5) AS c5, round(embedding[4]::DOUBLE, 5) AS c6,
  round(embedding[13]::DOUBLE, 5) AS arm_2, true AS far_missing FROM embeddings""",
     "window_slot_validity": "WITH e AS (SELECT label::BIGINT AS label, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS slot FROM embeddings) SELECT label, slot::INT AS slot, bool_and(x > -0.25::FLOAT) AND slot % 2 = 0 AS valid FROM e GROUP BY label, slot",

@@ -54,8 +54,10 @@ def status_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as locked repositories, finished ones as markers, those with lines as present: status by priority and in all."""
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     lock = orders.select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("revision"))
-    marker = orders.where("o_orderkey % 3 <> 0").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, "old").otherwise(F.col("o_orderstatus")).alias("done_revision"))
-    here = lines.select(F.col("l_orderkey").alias("o_orderkey"))
+    k = F.col("o_orderkey")
+    said = F.when(k % 3 == 1, "ok").when(k % 7 == 0, "running").otherwise("error")
+    marker = orders.where("o_orderkey % 3 <> 0").select("o_orderkey", said.alias("marker_status"), F.when(k % 5 == 0, "old").otherwise(F.col("o_orderstatus")).alias("marker_revision"))
+    here = lines.where("l_orderkey % 13 <> 0").select(F.col("l_orderkey").alias("o_orderkey"), (F.col("l_quantity") > 48).cast("int").alias("incomplete"))
     return rp.two_level_counts(rp.status(lock, marker, here, "o_orderkey"), "o_orderpriority", "status")
 
 
@@ -237,12 +239,12 @@ def _frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def frame_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = rp.luma_metrics(F.col("p"), dark=60, bright=190)
-    out = _frames(spark, sf_dir).select("vec_id", *[x.alias(k) for k, x in m.items()], rp.laplacian_variance(F.col("p"), 8, 8).alias("laplacian_variance"), rp.difference_hash(F.col("p"), 8, 8, 8).alias("dhash"))
+    out = _frames(spark, sf_dir).select("vec_id", *[x.alias(k) for k, x in m.items()], rp.laplacian_variance(F.col("p"), 8, 8).alias("laplacian_variance"), rp.hash_text(rp.difference_hash(F.col("p"), 8, 8)).alias("dhash"), rp.hash_text(rp.difference_hash(F.col("p"), 16, 4)).alias("dhash_wide"))
     return rounded(out)
 
 
 def freeze_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _frames(spark, sf_dir).withColumn("code", rp.difference_hash(F.col("p"), 8, 8, 8))
+    rows = _frames(spark, sf_dir).withColumn("code", rp.difference_hash(F.col("p"), 8, 8))
     return rounded(rp.frozen_pairs(rows, ["label"], "vec_id", "p", "code", difference=0.2, distance=28))
 
 
@@ -287,7 +289,13 @@ _U = "CAST(('0x' || substr({0}, 1, 16))::UBIGINT AS DOUBLE) / 184467440737095516
 _ID = "substr(sha256(coalesce(source, 'None') || chr(31) || coalesce(lang, 'None') || chr(31) || coalesce(doc_id::VARCHAR, 'None')), 1, 24)"
 _VEC = "v AS (SELECT vec_id, label::BIGINT AS label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings), each AS (SELECT vec_id, label, unnest(v) AS x, generate_subscripts(v, 1) - 1 AS dim FROM v)"
 _GRAY = "g AS (SELECT vec_id, label::BIGINT AS label, list_transform(embedding, lambda x: least(255, greatest(0, floor((x::DOUBLE + 0.5) * 255)::INT))) AS p FROM embeddings)"
-_DHASH = "list_sum(list_transform(range(0, 56), lambda k: CASE WHEN p[(k // 7) * 8 + k % 7 + 1] > p[(k // 7) * 8 + k % 7 + 2] THEN (1::BIGINT << k) ELSE 0 END))::BIGINT"
+_PLACE = "round_even((k // 8) * ({h} - 1) / 7.0, 0)::INT * {w} + round_even((k % 8 + {o}) * ({w} - 1) / 8.0, 0)::INT + 1"
+
+
+def _dhash(w: int, h: int) -> str:
+    """The difference hash in SQL: bits by list, as one unsigned number."""
+    left, right = (_PLACE.format(w=w, h=h, o=o) for o in (0, 1))
+    return f"list_sum(list_transform(range(0, 64), lambda k: CASE WHEN p[{left}] > p[{right}] THEN (1::UBIGINT << (63 - k)::UBIGINT) ELSE 0::UBIGINT END))::UBIGINT"
 _QUALITY = """q AS (SELECT doc_id, n_chars, lang, source, quality, toxic, (n_chars // 10) AS fr,
  (0.25 * (CASE WHEN quality = 1 THEN 1.0 WHEN quality = 0 THEN 0.0 ELSE 0.5 END) + 0.2 * (CASE WHEN n_chars > 500 THEN 1.0 ELSE 0.65 END) + CASE WHEN lang = 'en' THEN 0.1 ELSE 0 END + 0.05 * 0.2)::DOUBLE
  / (0.25 + 0.2 + CASE WHEN lang = 'en' THEN 0.1 ELSE 0 END + 0.05)::DOUBLE AS score, coalesce(toxic = 1, false) AS failed FROM documents LEFT JOIN labels USING (doc_id)),
@@ -310,8 +318,10 @@ ORACLE_SQL = {
 f AS (SELECT *, CASE WHEN start <= max(stop) OVER (PARTITION BY user_id, event_type ORDER BY start, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS fresh FROM s),
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id, event_type ORDER BY start, stop ROWS UNBOUNDED PRECEDING) AS g FROM f) SELECT user_id, event_type, min(start) AS start, max(stop) AS stop FROM g GROUP BY user_id, event_type, g""",
     "valid_index_intersection": "SELECT l_orderkey AS idx FROM lineitem INTERSECT SELECT o_orderkey FROM orders INTERSECT SELECT o_orderkey FROM orders WHERE o_orderkey <= (SELECT max(o_orderkey) / 2 FROM orders)",
-    "status_rollup": """WITH m AS (SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 THEN 'old' ELSE o_orderstatus END AS done FROM orders WHERE o_orderkey % 3 <> 0), h AS (SELECT DISTINCT l_orderkey AS o_orderkey, true AS here FROM lineitem),
-s AS (SELECT o_orderpriority, CASE WHEN done = o_orderstatus AND here THEN 'complete' WHEN done IS NOT NULL AND here THEN 'stale' WHEN here THEN 'partial' ELSE 'missing' END AS status FROM orders LEFT JOIN m USING (o_orderkey) LEFT JOIN h USING (o_orderkey))
+    "status_rollup": """WITH m AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 1 THEN 'ok' WHEN o_orderkey % 7 = 0 THEN 'running' ELSE 'error' END AS said, CASE WHEN o_orderkey % 5 = 0 THEN 'old' ELSE o_orderstatus END AS rev FROM orders WHERE o_orderkey % 3 <> 0),
+h AS (SELECT l_orderkey AS o_orderkey, count(*) FILTER (WHERE l_quantity > 48) AS unfinished FROM lineitem WHERE l_orderkey % 13 <> 0 GROUP BY 1),
+s AS (SELECT o_orderpriority, CASE WHEN unfinished IS NULL THEN 'missing' WHEN said = 'ok' AND rev = o_orderstatus THEN 'complete' WHEN unfinished > 0 THEN 'partial' WHEN said NOT IN ('ok', 'running') THEN 'failed' WHEN said = 'running' THEN 'interrupted_or_running'
+ ELSE 'present_untracked' END AS status FROM orders LEFT JOIN m USING (o_orderkey) LEFT JOIN h USING (o_orderkey))
 SELECT o_orderpriority, status, count(*) AS count FROM s GROUP BY ROLLUP (o_orderpriority, status)""",
     "missing_and_mismatch": "SELECT c_custkey AS file, 'missing' AS problem FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier) UNION ALL SELECT c_custkey, 'size' FROM customer JOIN supplier ON c_custkey = s_suppkey WHERE c_nationkey <> s_nationkey",
     "destination_conflicts": "SELECT p_type, count(DISTINCT p_brand) AS sources FROM part GROUP BY 1 HAVING count(DISTINCT p_brand) > 1",
@@ -354,8 +364,8 @@ SELECT label, n, round(mae, 5) AS mae, round(mse, 5) AS mse, round(sqrt(mse), 5)
     "frame_metrics": f"""WITH {_GRAY}, b AS (SELECT *, list_transform(range(0, 16), lambda b: len(list_filter(p, lambda x: x // 16 = b)) / 64.0) AS h, list_transform(range(0, 36), lambda k: (k // 6 + 1) * 8 + k % 6 + 2) AS c FROM g),
 l AS (SELECT *, list_transform(c, lambda i: (p[i - 1] + p[i + 1] + p[i - 8] + p[i + 8] - 4 * p[i])::DOUBLE) AS lap FROM b)
 SELECT vec_id, round(list_sum(p) / 64.0, 6) AS mean_luma, round(len(list_filter(p, lambda x: x <= 60)) / 64.0, 6) AS dark_ratio, round(len(list_filter(p, lambda x: x >= 190)) / 64.0, 6) AS bright_ratio,
- round(-list_sum(list_transform(h, lambda q: CASE WHEN q > 0 THEN q * log2(q) ELSE 0 END)) / 4.0, 6) AS entropy, round((list_sum(list_transform(lap, lambda x: x * x)) / 36 - (list_sum(lap) / 36) ** 2) / 65025.0, 6) AS laplacian_variance, {_DHASH} AS dhash FROM l""",
-    "freeze_pairs": f"""WITH {_GRAY}, c AS (SELECT label, vec_id, p, {_DHASH} AS code FROM g), o AS (SELECT *, lag(p) OVER w AS q, lag(code) OVER w AS d FROM c WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
+ round(-list_sum(list_transform(h, lambda q: CASE WHEN q > 0 THEN q * log2(q) ELSE 0 END)) / 4.0, 6) AS entropy, round((list_sum(list_transform(lap, lambda x: x * x)) / 36 - (list_sum(lap) / 36) ** 2) / 65025.0, 6) AS laplacian_variance, lpad(lower(to_hex({_dhash(8, 8)})), 16, '0') AS dhash, lpad(lower(to_hex({_dhash(16, 4)})), 16, '0') AS dhash_wide FROM l""",
+    "freeze_pairs": f"""WITH {_GRAY}, c AS (SELECT label, vec_id, p, {_dhash(8, 8)} AS code FROM g), o AS (SELECT *, lag(p) OVER w AS q, lag(code) OVER w AS d FROM c WINDOW w AS (PARTITION BY label ORDER BY vec_id)),
 m AS (SELECT label, vec_id, list_sum(list_transform(range(1, 65), lambda i: abs(p[i] - q[i]))) / 64.0 / 255.0 AS mad, bit_count(xor(code, d))::BIGINT AS hamming FROM o WHERE q IS NOT NULL) SELECT label, vec_id, round(mad, 6) AS mad, hamming, mad <= 0.2 AND hamming <= 28 AS frozen FROM m""",
     "leaderboard": "SELECT o_orderpriority, o_orderstatus, round(avg(o_totalprice / 1000.0), 4) AS score, count(*) AS n FROM orders GROUP BY GROUPING SETS ((o_orderpriority, o_orderstatus), (o_orderstatus))",
     "best_checkpoint": """WITH l AS (SELECT DISTINCT l_orderkey, l_partkey * 10 + l_linenumber AS step, l_quantity > 30 AS passed, l_extendedprice, l_tax FROM lineitem), g AS (SELECT *, l_extendedprice / 1000 + 10 * l_tax AS gain FROM l),

@@ -85,10 +85,11 @@ def test_camera_slots_are_greedy(spark):
 
 
 def test_status_and_verification(spark):
-    lock = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1"), ("d", "1")], "repo string, revision string")
-    marker = spark.createDataFrame([("a", "1"), ("b", "0")], "repo string, done_revision string")
-    here = spark.createDataFrame([("a",), ("a",), ("b",), ("c",)], "repo string")
-    assert {r.repo: r.status for r in rp.status(lock, marker, here, "repo").collect()} == {"a": "complete", "b": "stale", "c": "partial", "d": "missing"}
+    want = {"a": "complete", "b": "present_untracked", "c": "partial", "d": "missing", "e": "failed", "f": "interrupted_or_running", "g": "present_untracked", "h": "complete"}
+    lock = spark.createDataFrame([(k, "1") for k in want], "repo string, revision string")
+    marker = spark.createDataFrame([("a", "ok", "1"), ("b", "ok", "0"), ("d", "ok", "1"), ("e", "error", "1"), ("f", "running", "1"), ("h", "ok", "1")], "repo string, marker_status string, marker_revision string")
+    here = spark.createDataFrame([("a", 0), ("a", 0), ("b", 0), ("c", 2), ("e", 0), ("f", None), ("g", 0), ("h", 1)], "repo string, incomplete int")
+    assert {r.repo: r.status for r in rp.status(lock, marker, here, "repo").collect()} == want
     want = spark.createDataFrame([("f", 1), ("g", 2), ("h", 3)], "f string, size int")
     have = spark.createDataFrame([("f", 1), ("g", 9)], "f string, size int")
     assert {(r.f, r.problem) for r in rp.verify(want, have, "f", "size").collect()} == {("g", "size"), ("h", "missing")}
@@ -102,7 +103,7 @@ def test_errors_without_error_are_infinite(spark):
 
 def test_frozen_and_dark_frames(spark):
     frames = spark.createDataFrame([("a", 0, [0] * 64), ("a", 1, [0] * 64), ("a", 2, [(i * 37) % 256 for i in range(64)])], "k string, i int, p array<int>")
-    out = frames.withColumn("code", rp.difference_hash(F.col("p"), 8, 8, 8))
+    out = frames.withColumn("code", rp.difference_hash(F.col("p"), 8, 8))
     assert [r.frozen for r in rp.frozen_pairs(out, ["k"], "i", "p", "code").orderBy("i").collect()] == [True, False]
     m = rp.luma_metrics(F.col("p"))
     rows = frames.select("i", m["dark_ratio"].alias("d"), m["entropy"].alias("e")).orderBy("i").collect()
@@ -131,9 +132,34 @@ def test_exports(spark):
     assert one(spark, ex.decoded_frames(F.lit(10))) == 81 and one(spark, ex.decoded_frames(F.lit(114))) == 913
     segments = spark.createDataFrame([("e", 0, 0, 5, "a", 10), ("e", 1, 4, 8, "b", 10), ("e", 2, 8, 11, "c", 10), ("e", 3, None, 9, "d", 10)], "episode_id string, ordinal int, start long, stop long, text string, n long")
     assert sorted(r.ordinal for r in ex.segment_problems(segments).collect()) == [1, 2, 3]
-    good = (20.0, 81, 80, [True] * 80, [True] * 80, [True] * 5, "u", 3, "joint_video_action", True)
-    bad = (None, 81, 80, [True] * 80, None, [False] * 5, None, 0, "video_only", True)
-    columns = "target_fps double, state_steps int, action_steps int, state_slot_mask array<boolean>, action_slot_mask array<boolean>, camera_mask array<boolean>, canonical_uri string, start_count int, mode string, action_loss boolean"
+    roles = ["global_primary", "global_secondary", "left_wrist", "right_wrist", "auxiliary"]
+    good = (list(range(0, 81, 4)), roles, [0, 1, 2, 3, 4], 20.0, 81, 80, [True] * 80, [True] * 80, [True] * 5, "u", 3, "joint_video_action", True)
+    bad = (list(range(0, 81, 5)), roles[::-1], None, None, 81, 80, [True] * 80, None, [False] * 5, None, 0, "video_only", True)
+    columns = "video_offsets array<int>, camera_roles array<string>, camera_indices array<int>, target_fps double, state_steps int, action_steps int, state_slot_mask array<boolean>, action_slot_mask array<boolean>, camera_mask array<boolean>, canonical_uri string, start_count int, mode string, action_loss boolean"
     rows = [r.failures for r in ex.case_failures(spark.createDataFrame([good, bad], columns)).collect()]
     assert rows[0] == []
-    assert rows[1] == ["action_slot_mask_must_have_80_dimensions", "canonical_parquet_missing", "no_valid_camera_slot", "no_valid_starts", "target_fps_must_be_20", "video_only_must_disable_action_loss"]
+    assert rows[1] == ["action_slot_mask_must_have_80_dimensions", "camera_roles_must_match_fixed_five_slots", "camera_slot_indices_invalid", "canonical_parquet_missing", "no_valid_camera_slot", "no_valid_starts", "target_fps_must_be_20", "video_offsets_must_be_0_to_80_stride_4", "video_only_must_disable_action_loss"]
+
+
+def test_difference_hash_covers_the_image(spark):
+    """A whole image of another size: 8 rows and 9 columns at rounded places, the first bit the highest."""
+    width, height = 20, 11
+    pixels = [(x * x * 7 + y * 31) % 256 for y in range(height) for x in range(width)]
+    bits = ""
+    for y in range(8):
+        at = round(y * (height - 1) / 7) * width
+        bits += "".join(str(int(pixels[at + round(x * (width - 1) / 8)] > pixels[at + round((x + 1) * (width - 1) / 8)])) for x in range(8))
+    row = spark.createDataFrame([(pixels,)], "p array<int>")
+    assert row.select(rp.hash_text(rp.difference_hash(F.col("p"), width, height)).alias("h")).first().h == f"{int(bits, 2):016x}"
+
+
+def test_gates_need_a_first_step(spark):
+    from kinetrail.operators import exports as ex
+
+    schema = "run string, step int, sample_index int, window_start int, psnr double, ssim double, action_l1 double, memory_ratio double"
+    good = spark.createDataFrame([("r", 0, 1, 5, 10.0, 0.1, 0.4, 1.0), ("r", 9, 1, 5, 14.0, 0.2, 0.1, 1.0), ("r", 10, 1, 6, 14.0, 0.2, 0.1, 1.0), ("r", 11, 1, 5, 14.0, 0.2, 0.3, 1.0), ("r", 12, 1, 5, 14.0, 0.2, None, 0.5)], schema)
+    assert {r.step: r.passed for r in ex.gates(good, "run").collect()} == {9: True, 10: False, 11: False, 12: False}
+    late = good.where("step > 0")
+    with pytest.raises(Exception, match="step 0"):
+        ex.gates(late, "run").collect()
+    assert {r.step: r.passed for r in ex.gates(late, "run", baseline=good.where("step = 0")).collect()} == {9: True, 10: False, 11: False, 12: False}
