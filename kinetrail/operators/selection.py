@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinetrail.functions.scalar import unit_hash
+
 # --- checks -----------------------------------------------------------------------------------------
 
 
@@ -256,7 +258,7 @@ def packed(vector: Column, slots: list[int]) -> Column:
 def latent_window(length: Column, width: int, seed: int, *key: Column) -> Column:
     """A start in [0, length - width], the same for one seed and key; null if the latent is too short."""
     free = length - width + 1
-    return F.when(free > 0, F.pmod(F.xxhash64(F.lit(seed), *key), free))
+    return F.when(free > 0, F.floor(unit_hash(F.lit(seed), *key) * free).cast("bigint"))
 
 
 # --- chunks ------------------------------------------------------------------------------------------
