@@ -1,22 +1,26 @@
-"""Language-model scoring: an interpolated modified Kneser-Ney bigram model over whole words.
+"""Language-model scoring: an interpolated modified Kneser-Ney n-gram model over whole words, of any order from 2.
 
-Tokens are runs without ASCII white space, A-Z made small, and one end token a text. Words are 64-bit hashes throughout.
+Tokens are runs without ASCII white space, A-Z made small, and one end token a text. Words are 64-bit hashes throughout, and so are n-grams.
 
-Counting is one Spark job. Tasks count the (previous word, word) pairs of their training texts and send them, summed, to shards by
-the top bits of the previous word's hash; a shard task merges its pairs, writes them to the shared folder as sorted hash arrays
-with the sums of each previous word, and sends on, per word, in how many pairs and how often it stood second; a second set of
-shards writes those as sorted arrays by word. Only counts of counts reach the driver, a few numbers a shard.
+Counting is one Spark job of ``order`` shuffles. Tasks count the n-grams of their training texts and send them, summed, to shards by
+the top bits of the n-gram's own hash, so that a frequent word burdens no shard. A shard task merges its n-grams, writes their counts to the shared
+folder as sorted hash arrays, and sends on, summed, the sums of each context (the words before the last), and each suffix (the words after the first)
+with the number of different words that stood before it. Shards of the next shuffle write the contexts' sums, merge the suffixes as n-grams of one order
+less, and so on down to single words. The number of shards follows from the counted bytes of the training texts. Only counts of
+counts reach the driver, a few numbers a shard.
 
 Scoring reads every whole text once; workers memory-map the arrays and look up sorted batches of hashes. A shared folder that is
 mounted is mapped in place; from any other store a worker copies shards to its own temporary folder first.
 
-    p(w | v) = (c(v w) - D(c)) / c(v) + g(v) p(w)        p(w) = (t(w) - D'(t)) / T + g' / (V + 1)
+    p_k(w | v) = (c_k(v w) - D_k(c)) / c_k(v) + g_k(v) p_k-1(w | v')        p_1(w) = (t(w) - D_1(t)) / T + g_1 / (V + 1)
 
-c: training count of the pair, t(w): distinct words before w, T: their sum, V: distinct training tokens, D: the three discounts of
-the modified method from counts of counts, g: the mass they set free. A word v never seen leaves p(w).
+v: the k - 1 words before, v' without their first; c_k: training count at the highest order, below it the number of different words before; t(w): distinct
+words before w, T: their sum, V: distinct training tokens, D_k: the three discounts of the modified method from the counts of counts of the order, g: the
+mass they set free. A context never seen leaves the order below. Before a text stand as many begin marks as the order asks for.
 
 Null texts are empty: they have the end token only. Rows whose ``train`` is null or false are scored but not learned from.
-Repeated rows count each. Without training rows the model is uniform. Made columns win over input columns of those names.
+Repeated rows count each. Long texts are taken whole. Without training rows, as with an empty table, the model is uniform. Made columns win over input
+columns of those names.
 """
 
 from __future__ import annotations
@@ -39,33 +43,49 @@ from kinetrail.llm import common as c
 BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: tokens that a task counts before it sends them on
-_FLUSH = 1 << 21
-_PAIRS = "shard int, first binary, second binary, n binary"
-_PARTS = "shard int, word binary, before binary, n binary, sums array<bigint>"
-_SUMS = "kind int, sums array<bigint>"
+#: tokens that a task counts before it sends them on, and about as many a shard
+_FLUSH, _SHARD = 1 << 21, 1 << 21
+_ROWS = "shard int, parts array<binary>, sums array<bigint>"
+#: shards of contexts are numbered from here on, those of n-grams from 0, rows of sums below 0
+_CONTEXTS = 1 << 20
 
 
-def tokens(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(previous, token, tokens by text) of the texts in a buffer."""
+def tokens(buf: np.ndarray, offsets: np.ndarray, order: int = 2) -> tuple[list[np.ndarray], np.ndarray]:
+    """The n-grams of the texts in a buffer, one for each token, as an array for each place (the last holds the tokens), and
+    the number of tokens of each text."""
     starts, ends, first = c.words(buf, offsets)
     word = c.SpanHasher(_LOWER[buf])(starts, ends)
-    return np.insert(word, first[:-1], BEGIN), np.insert(word, first[1:], END), np.diff(first) + 1
+    token, n = np.insert(word, first[1:], END), np.diff(first) + 1
+    place = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+    grams = [token]
+    for back in range(1, order):
+        before = np.full(len(token), BEGIN)
+        before[back:] = token[: len(token) - back] if back < len(token) else token[:0]
+        before[place < back] = BEGIN
+        grams.insert(0, before)
+    return grams, n
 
 
-def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    """Keys in the order of the first word's top 16 bits, so that a shard holds a range of keys."""
-    both = c.mix(first * np.uint64(0x9FB21C651E98DF25) + second)
-    return (first & np.uint64(0xFFFF << 48)) | (both >> np.uint64(16))
+def gram_keys(words: list[np.ndarray]) -> np.ndarray:
+    """One hash for each n-gram; a single word is its own."""
+    key = words[0]
+    for word in words[1:]:
+        key = c.mix(key * np.uint64(0x9FB21C651E98DF25) + word)
+    return key
 
 
-def _summed(first: np.ndarray, second: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.lexsort((second, first))
-    first, second, n = first[order], second[order], n[order]
-    new = np.ones(len(first), bool)
-    new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
-    at = np.flatnonzero(new)
-    return first[at], second[at], np.add.reduceat(n, at) if len(at) else n[:0]
+def _grouped(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys and where each distinct one starts."""
+    order = np.argsort(key, kind="stable")
+    ranked = key[order]
+    return order, np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(key) else order[:0]
+
+
+def _summed(words: list[np.ndarray], *counts: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """Distinct n-grams by key, with their keys and summed counts."""
+    key = gram_keys(words)
+    order, at = _grouped(key)
+    return key[order[at]], [w[order[at]] for w in words], [np.add.reduceat(n[order], at) if len(at) else n[:0] for n in counts]
 
 
 def _cuts(values: np.ndarray, bits: int) -> np.ndarray:
@@ -74,81 +94,93 @@ def _cuts(values: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(values, edges), [len(values)]])
 
 
-def _count(bits: int, text: str, train: str):
+def _small(n: np.ndarray) -> np.ndarray:
+    """Counts in four bytes each where they fit, else in eight."""
+    return n.astype(np.uint32 if not len(n) or n.max() < 1 << 32 else np.uint64)
+
+
+def _packed(n: np.ndarray) -> bytes:
+    """Counts with the size of an item before them."""
+    small = _small(n)
+    return bytes([small.itemsize]) + small.tobytes()
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, _KINDS[raw[0]], offset=1).astype(np.int64)
+
+
+def _dealt(base: int, bits: int, key: np.ndarray, hashes: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple]:
+    """Rows of sorted keys by shard: hashes in eight bytes each, then counts."""
+    cut = _cuts(key, bits)
+    return [(base + k, [*(x[a:b].tobytes() for x in hashes), *(_packed(x[a:b]) for x in counts)], None) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.list_(pa.binary()), pa.list_(pa.int64()))
+    columns = zip(*rows, strict=True) if rows else ([], [], [])
+    return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(columns, kinds, strict=True)], names=["shard", "parts", "sums"])
+
+
+def _count(bits: int, order: int, text: str, train: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[list[np.ndarray]] = []
         waiting = 0
 
-        def flush() -> Iterator[pa.RecordBatch]:
-            first, second = (np.concatenate(x) for x in zip(*held, strict=True))
-            first, second, n = _summed(first, second, np.ones(len(first), np.int64))
-            cut = _cuts(first, bits)
-            rows = [(k, a, b) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k for k, _, _ in rows], pa.int32()), *(pa.array([x[a:b].tobytes() for _, a, b in rows], pa.binary()) for x in (first, second, n.astype(np.uint32)))],
-                names=["shard", "first", "second", "n"],
-            )
+        def flush() -> pa.RecordBatch:
+            words = [np.concatenate(x) for x in zip(*held, strict=True)]
+            key, words, (n,) = _summed(words, np.ones(len(words[0]), np.int64))
+            return _batch(_dealt(0, bits, key, words, [n, n]))
 
         for batch in batches:
             batch = batch.filter(batch.column(train))
             for _, _, buf, offsets in c.byte_chunks(batch.column(text)):
-                previous, token, _ = tokens(buf, offsets)
-                held.append((previous, token))
-                waiting += len(token)
+                held.append(tokens(buf, offsets, order)[0])
+                waiting += len(held[-1][0])
                 if waiting >= _FLUSH:
-                    yield from flush()
+                    yield flush()
                     held.clear()
                     waiting = 0
         if held:
-            yield from flush()
+            yield flush()
 
     return run
 
 
-def _joined(table: pa.Table, name: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+def _parts(table: pa.Table, hashes: int, counts: int) -> list[np.ndarray]:
+    """The parts of all rows of a shard, each put together."""
+    rows = table.column("parts").to_pylist()
+    return [np.concatenate([np.frombuffer(r[i], np.uint64) if i < hashes else _unpacked(r[i]) for r in rows]) for i in range(hashes + counts)]
 
 
-def _merge(bits: int, folder: str):
-    def run(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        first, second, n = _summed(_joined(table, "first", np.uint64), _joined(table, "second", np.uint64), _joined(table, "n", np.uint32).astype(np.int64))
-        keys = _pair_keys(first, second)
-        order = np.argsort(keys, kind="stable")
-        new = np.flatnonzero(np.concatenate([[True], first[1:] != first[:-1]]))
-        contexts = first[new]
-        parts = [np.add.reduceat(x.astype(np.int64), new) for x in (n, n == 1, n == 2, n > 2)]
-        _write(folder, f"pairs-{shard}", [keys[order], np.minimum(n[order], 2**32 - 1).astype(np.uint32), contexts, *(x.astype(np.uint64 if i == 0 else np.uint32) for i, x in enumerate(parts))])
-        sums = [len(n), int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4))]
-        by_word = np.argsort(second, kind="stable")
-        word, n = second[by_word], n[by_word]
-        at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        before, times = np.diff(np.append(at, len(word))), np.add.reduceat(n, at)
-        word = word[at]
-        cut = _cuts(word, bits)
-        rows = [(k, word[a:b].tobytes(), before[a:b].astype(np.uint32).tobytes(), times[a:b].astype(np.uint64).tobytes(), None) for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if b > a]
-        rows.append((-1 - shard, None, None, None, sums))
-        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
-        return pa.Table.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=["shard", "word", "before", "n", "sums"])
+def _merge(bits: int, folder: str, size: int):
+    """One shard of n-grams of ``size`` words, or of the contexts of one word more."""
 
-    return run
+    def contexts(shard: int, table: pa.Table) -> list[tuple]:
+        key, *sums = _parts(table, 1, 4)
+        order, at = _grouped(key)
+        _write(folder, f"contexts{size + 1}-{shard}", [key[order[at]], *(_small(np.add.reduceat(x[order], at)) for x in sums)])
+        return []
 
+    def grams(shard: int, table: pa.Table) -> list[tuple]:
+        *words, n, times = _parts(table, size, 2)
+        key, words, (n, times) = _summed(words, n, times)
+        _write(folder, f"grams{size}-{shard}", [key, _small(n), *([_small(times)] if size == 1 else [])])
+        rows = [(-1 - shard, None, [size, len(n), int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4)), int((n > 2).sum())])]
+        if size > 1:
+            context = gram_keys(words[:-1])
+            order, at = _grouped(context)
+            sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
+            rows += _dealt(_CONTEXTS, bits, context[order[at]], [context[order[at]]], sums)
+            key, words, (before, times) = _summed(words[1:], np.ones(len(n), np.int64), times)
+            rows += _dealt(0, bits, key, words, [before, times])
+        return rows
 
-def _words(folder: str):
     def run(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
         if shard < 0:
-            sums, kind = table.column("sums")[0].as_py(), 0
-        else:
-            word = _joined(table, "word", np.uint64)
-            order = np.argsort(word, kind="stable")
-            word = word[order]
-            at = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            before = np.add.reduceat(_joined(table, "before", np.uint32)[order].astype(np.int64), at)
-            times = np.add.reduceat(_joined(table, "n", np.uint64)[order].astype(np.int64), at)
-            _write(folder, f"words-{shard}", [word[at], before.astype(np.uint64), times.astype(np.uint64)])
-            sums, kind = [len(at), int(before.sum()), *(int((before == k).sum()) for k in (1, 2, 3, 4)), int((before > 2).sum())], 1
-        return pa.Table.from_arrays([pa.array([kind], pa.int32()), pa.array([sums], pa.list_(pa.int64()))], names=["kind", "sums"])
+            return table.select(["shard", "parts", "sums"])
+        rows = contexts(shard - _CONTEXTS, table) if shard >= _CONTEXTS else grams(shard, table)
+        return pa.Table.from_batches([_batch(rows)])
 
     return run
 
@@ -184,7 +216,7 @@ def _write(folder: str, name: str, arrays: list[np.ndarray]) -> None:
 _KINDS = {8: np.uint64, 4: np.uint32}
 
 
-@lru_cache(maxsize=300)
+@lru_cache(maxsize=4096)
 def _mapped(folder: str, name: str) -> tuple[np.ndarray, ...] | None:
     """The arrays of a file, memory-mapped; None if there is no such shard."""
     from pyarrow import fs
@@ -213,18 +245,18 @@ def _mapped(folder: str, name: str) -> tuple[np.ndarray, ...] | None:
     return tuple(arrays)
 
 
-def _lookup(folder: str, name: str, bits: int, wanted: np.ndarray, key: int, values: tuple[int, ...]) -> list[np.ndarray]:
-    """Values (0 where absent) of sorted distinct hashes; key and values: places of arrays in the files."""
-    out = [np.zeros(len(wanted)) for _ in values]
+def _lookup(folder: str, name: str, bits: int, wanted: np.ndarray, values: int) -> list[np.ndarray]:
+    """The first ``values`` arrays beside the keys (0 where absent) of sorted distinct hashes."""
+    out = [np.zeros(len(wanted)) for _ in range(values)]
     cut = _cuts(wanted, bits)
     for shard, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
         arrays = _mapped(folder, f"{name}-{shard}") if b > a else None
-        if arrays is None or not len(arrays[key]):
+        if arrays is None or not len(arrays[0]):
             continue
-        place = np.minimum(np.searchsorted(arrays[key], wanted[a:b]), len(arrays[key]) - 1)
-        real = arrays[key][place] == wanted[a:b]
-        for o, v in zip(out, values, strict=True):
-            o[a:b][real] = arrays[v][place[real]]
+        place = np.minimum(np.searchsorted(arrays[0], wanted[a:b]), len(arrays[0]) - 1)
+        real = arrays[0][place] == wanted[a:b]
+        for k, o in enumerate(out, 1):
+            o[a:b][real] = arrays[k][place[real]]
     return out
 
 
@@ -242,52 +274,59 @@ def discounts(counts: list[int]) -> np.ndarray:
 
 
 @dataclass(frozen=True)
-class BigramModel:
+class NgramModel:
     folder: str
     bits: int
+    order: int
     tokens: int
     types: int
+    #: distinct pairs of neighbouring words
     pair_types: int
-    pair_discounts: np.ndarray
-    word_discounts: np.ndarray
+    #: discounts by order, from 1
+    discounts: tuple[np.ndarray, ...]
     word_free: float
 
-    def log10(self, previous: np.ndarray, token: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log10 probability, training count of the token) of each token."""
-        word, back = np.unique(token, return_inverse=True)
-        before, count = (x[back] for x in _lookup(self.folder, "words", self.bits, word, 0, (1, 2)))
-        spread = max(self.pair_types, 1)
-        low = (before - self.word_discounts[np.minimum(before, 3).astype(int)]) / spread + self.word_free / (self.types + 1)
-        keys, back = np.unique(_pair_keys(previous, token), return_inverse=True)
-        seen = _lookup(self.folder, "pairs", self.bits, keys, 0, (1,))[0][back]
-        context, back = np.unique(previous, return_inverse=True)
-        total, one, two, more = (x[back] for x in _lookup(self.folder, "pairs", self.bits, context, 2, (3, 4, 5, 6)))
-        d = self.pair_discounts
-        known = total > 0
-        total = np.where(known, total, 1)
-        high = (seen - d[np.minimum(seen, 3).astype(int)]) / total + (d[1] * one + d[2] * two + d[3] * more) / total * low
-        return np.log10(np.where(known, high, low)), count
-
-
-def fit(docs: DataFrame, train: Column, text: str = "text") -> BigramModel:
+    def log10(self, words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(log10 probability, training count of the token) of each token after the words before it."""
+        word, back = np.unique(words[-1], return_inverse=True)
+        before, count = (x[back] for x in _lookup(self.folder, "grams1", self.bits, word, 2))
+        p = (before - self.discounts[0][np.minimum(before, 3).astype(int)]) / max(self.pair_types, 1) + self.word_free / (self.types + 1)
+        for k in range(2, self.order + 1):
+            keys, back = np.unique(gram_keys(words[-k:]), return_inverse=True)
+            seen = _lookup(self.folder, f"grams{k}", self.bits, keys, 1)[0][back]
+            context, back = np.unique(gram_keys(words[-k:-1]), return_inverse=True)
+            total, one, two, more = (x[back] for x in _lookup(self.folder, f"contexts{k}", self.bits, context, 4))
+            d, known = self.discounts[k - 1], total > 0
+            total = np.where(known, total, 1)
+            p = np.where(known, (seen - d[np.minimum(seen, 3).astype(int)]) / total + (d[1] * one + d[2] * two + d[3] * more) / total * p, p)
+        return np.log10(p), count
+
+
+def fit(docs: DataFrame, train: Column, text: str = "text", order: int = 3) -> NgramModel:
     """Counts the rows that ``train`` allows, all of them."""
+    if order < 2:
+        raise ValueError("the order must be 2 or more")
     spark = docs.sparkSession
-    folder = c.new_path(spark, "bigrams")
+    folder = c.new_path(spark, "ngrams")
     source = docs.select(docs[text].alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    bits = min(16, max(4, (max(1, source.rdd.getNumPartitions()) - 1).bit_length()))
-    pairs = source.mapInArrow(_count(bits, "text", "train"), _PAIRS)
-    parts = pairs.groupBy("shard").applyInArrow(_merge(bits, folder), _PARTS)
-    sums = parts.groupBy("shard").applyInArrow(_words(folder), _SUMS)
-    rows = sums.select("kind", F.posexplode("sums").alias("i", "n")).groupBy("kind", "i").agg(F.sum("n").alias("n")).collect()
-    pair, word = [0] * 6, [0] * 7
-    for r in rows:
-        (pair, word)[r.kind][r.i] = r.n
-    d = discounts(word[2:6])
-    free = (d[1] * word[2] + d[2] * word[3] + d[3] * word[6]) / word[1] if word[1] else 1.0
-    return BigramModel(folder, bits, pair[1], word[0], word[1], discounts(pair[2:6]), d, free)
-
-
-def score(docs: DataFrame, model: BigramModel, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
+    size = source.where("train").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = min(16, max(2, (size // (6 * _SHARD)).bit_length()))
+    rows = source.mapInArrow(_count(bits, order, "text", "train"), _ROWS)
+    for k in range(order, 0, -1):
+        rows = rows.groupBy("shard").applyInArrow(_merge(bits, folder, k), _ROWS)
+    each = rows.where("sums IS NOT NULL").select(F.col("sums")[0].cast("int").alias("k"), F.posexplode("sums").alias("i", "n"))
+    found = {k: [0] * 8 for k in range(1, order + 1)}
+    for r in each.groupBy("k", "i").agg(F.sum("n").alias("n")).collect():
+        found[r.k][r.i] = r.n
+    # kind, types, sum of counts, types seen once, twice, three and four times, types seen more than twice
+    d = tuple(discounts(found[k][3:7]) for k in range(1, order + 1))
+    word = found[1]
+    free = (d[0][1] * word[3] + d[0][2] * word[4] + d[0][3] * word[7]) / word[2] if word[2] else 1.0
+    # every token ends one n-gram
+    return NgramModel(folder, bits, order, found[order][2], word[1], word[2], d, free)
+
+
+def score(docs: DataFrame, model: NgramModel, text: str = "text", keep: tuple[str, ...] | None = None) -> DataFrame:
     """docs' columns ``keep`` (all by default) with n_tokens, n_known, train_tokens, base_score, score and perplexity."""
     made = [T.StructField(x, T.LongType()) for x in ("n_tokens", "n_known", "train_tokens")] + [T.StructField(x, T.DoubleType()) for x in ("base_score", "score", "perplexity")]
     names = {x.name for x in made}
@@ -298,8 +337,8 @@ def score(docs: DataFrame, model: BigramModel, text: str = "text", keep: tuple[s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, j, buf, offsets in c.byte_chunks(body(batch), 2 << 20):
-                previous, token, n = tokens(buf, offsets)
-                log, count = model.log10(previous, token)
+                words, n = tokens(buf, offsets, model.order)
+                log, count = model.log10(words)
                 at = np.concatenate([[0], np.cumsum(n)[:-1]])
                 base = np.add.reduceat(np.log10((count + 1) / (model.tokens + model.types + 1)), at)
                 total = np.add.reduceat(log, at)

@@ -80,7 +80,7 @@ def _part(column: str, parts: int) -> F.Column:
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = lm_scoring.fit(docs, _part("doc_id", 7) != 2)
+    model = lm_scoring.fit(docs, _part("doc_id", 7) != 2, order=2)
     scored = lm_scoring.score(docs, model, keep=("doc_id",))
     return scored.withColumn("held_out", _part("doc_id", 7) == 2)
 

@@ -17,44 +17,64 @@ def toks(text):
     return [w.decode() for w in (text or "").translate(LOWER).encode().split()] + ["</s>"]
 
 
-def test_bigram_model(spark):
+def plain_model(texts, order):
+    """p(context, word) of an interpolated modified Kneser-Ney model, by dictionaries."""
+    counts = {order: Counter()}
+    for t in texts:
+        ws = ["<s>"] * (order - 1) + toks(t)
+        counts[order].update(tuple(ws[i : i + order]) for i in range(len(ws) - order + 1))
+    for k in range(order - 1, 0, -1):  # below the highest order: different words before
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    d = {k: lm_scoring.discounts([Counter(x.values())[n] for n in (1, 2, 3, 4)]) for k, x in counts.items()}
+    after = {k: defaultdict(list) for k in counts}
+    for k, x in counts.items():
+        for g, n in x.items():
+            after[k][g[:-1]].append(n)
+
+    def p(context, w):
+        k = len(context) + 1
+        ns = after[k].get(context)
+        if k == 1:
+            total, base = sum(ns), 1 / (len(counts[1]) + 1)
+        else:
+            base = p(context[1:], w)
+            if ns is None:
+                return base
+            total = sum(ns)
+        n = counts[k][(*context, w)]
+        return (n - d[k][min(n, 3)]) / total + sum(d[k][min(x, 3)] for x in ns) / total * base
+
+    return p
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_ngram_model(spark, order, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "_SHARD", 20)  # many shards
     random.seed(8)
-    words = ["The", "the", "cat", "SAT", "on", "é", "mat", "a b"]
-    texts = [" ".join(random.choice(words[: random.randint(2, 8)]) for _ in range(random.randint(0, 30))) for _ in range(60)] + [None, "", "unseen words only"]
+    words = ["The", "the", "cat", "SAT", "on", "é", "mat", "a b"]
+    texts = [" ".join(random.choice(words[: random.randint(2, 8)]) for _ in range(random.randint(0, 30))) for _ in range(60)] + [None, "", "unseen words only", "the " * 3000, "cat sat", "cat sat"]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, score string").repartition(3)
-    train = [i for i in range(len(texts)) if i % 4 and i != len(texts) - 1]
-    model = lm_scoring.fit(docs, F.col("doc_id").isin(train))
+    train = [i for i in range(len(texts)) if i % 4 and i != 62]
+    model = lm_scoring.fit(docs, F.col("doc_id").isin(train), order=order)
     got = {r.doc_id: r for r in lm_scoring.score(docs, model, keep=("doc_id", "score")).collect()}
-    uni, pairs = Counter(), Counter()
-    for i in train:
-        uni.update(toks(texts[i]))
-        pairs.update(zip(["<s>"] + toks(texts[i]), toks(texts[i])))
+    uni = Counter(w for i in train for w in toks(texts[i]))
     n, v = sum(uni.values()), len(uni)
-    after, before = defaultdict(Counter), Counter()
-    for (a, b), k in pairs.items():
-        after[a][b] = k
-        before[b] += 1
-    d, e = (lm_scoring.discounts([Counter(x.values())[k] for k in (1, 2, 3, 4)]) for x in (pairs, before))
-    spread = sum(before.values())
-    free = sum(e[min(k, 3)] for k in before.values()) / spread
-
-    def low(w):
-        return (before[w] - e[min(before[w], 3)]) / spread + free / (v + 1)
-
-    def p(a, w):
-        if a not in after:
-            return low(w)
-        total = sum(after[a].values())
-        k = after[a][w]
-        return (k - d[min(k, 3)]) / total + sum(d[min(x, 3)] for x in after[a].values()) / total * low(w)
-
-    assert sum(low(w) for w in uni) + free / (v + 1) == pytest.approx(1)
+    p = plain_model([texts[i] for i in train], order)
+    for context in ((), ("the",), ("the", "cat"), ("<s>", "the")):
+        if len(context) < order:
+            assert sum(p(context, w) for w in uni) + p(context, "never seen") == pytest.approx(1)
     for i, t in enumerate(texts):
-        ws = toks(t)
+        ws = ["<s>"] * (order - 1) + toks(t)
         r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(ws), sum(w in uni for w in ws), n)
-        assert r.base_score == pytest.approx(sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in ws))
-        assert r.score == pytest.approx(sum(math.log10(p(a, b)) for a, b in zip(["<s>"] + ws, ws)))
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(toks(t)), sum(w in uni for w in toks(t)), n)
+        assert r.base_score == pytest.approx(sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in toks(t)))
+        assert r.score == pytest.approx(sum(math.log10(p(tuple(ws[j - order + 1 : j]), ws[j])) for j in range(order - 1, len(ws))))
+
+
+def test_counts_beyond_four_bytes():
+    big = np.array([1, 2**40], np.int64)
+    assert lm_scoring._unpacked(lm_scoring._packed(big)).tolist() == big.tolist()
+    assert lm_scoring._small(big).itemsize == 8 and lm_scoring._small(big[:1]).itemsize == 4
 
 
 def test_model_without_training_rows(spark):
