@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinetrail.llm import common as c
+
 #: Longest piece in characters that is handed to the library at once, where the text has a safe place to cut.
 PIECE = 1 << 15
 _SAFE = re.compile(r"(?<=[A-Za-z0-9])[ \n]")
@@ -93,23 +95,27 @@ def decode(tokens: DataFrame, ids: str = "ids", into: str = "bytes", ranks: str
 
 
 def round_trip(docs: DataFrame, keep: tuple[str, ...], text: str = "text", ranks: str | None = None, pattern: str | None = None, with_ids: bool = False) -> DataFrame:
-    """Columns ``keep``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, encoded and decoded in one pass; ``ids`` too if asked for."""
+    """Columns ``keep``, ``n_tokens``, ``ids_sha256`` and ``decoded_sha256``, encoded and decoded in one pass; ``ids`` too if asked for.
+
+    The made columns win over kept ones of those names. Repeated rows are encoded each; an empty table gives an empty table."""
     from hashlib import sha256
 
+    made_names = ("n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else []))
+    keep = tuple(x for x in keep if x not in made_names)
+
     path, pat = (ranks, pattern) if ranks else default_vocabulary()
     schema = T.StructType(
         [docs.schema[x] for x in keep] + [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
         + [T.StructField("ids", T.ArrayType(T.IntegerType()))] * with_ids
     )
-    held = "__text__"
-    source = docs.select(*[docs[x] for x in keep], docs[text].alias(held))
+    source, body = c.carried(docs, list(keep), text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoding(path, pat)
         numerals = [str(i) for i in range(encoder.max_token_value + 1)]
         for batch in batches:
             made: list[list] = [[], [], [], []]
-            for value in batch.column(held):
+            for value in body(batch):
                 ids = encode_text(encoder, value.as_py())
                 made[0].append(len(ids))
                 made[1].append(sha256(",".join([numerals[i] for i in ids]).encode()).hexdigest())

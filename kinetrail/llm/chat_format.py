@@ -177,17 +177,26 @@ def _with_turns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_back(forest: ChatForest, conv: str = "conv_id") -> DataFrame:
-    """What each conversation's formatted stream says: turn count, digests of turns and of loss text, lengths."""
-    steps = forest.members.select(conv, F.posexplode("node_ids").alias("at", "node_id"))
-    text = forest.nodes.select("node_id", "formatted", "loss_start", "loss_stop")
-    streams = steps.join(text, "node_id").groupBy(conv).agg(F.array_sort(F.collect_list(F.struct("at", "formatted", "loss_start", "loss_stop"))).alias("parts"))
-    schema = "conv bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
+    """What each conversation says, read from the emitted stream: turn count, digests of turns and of loss text, lengths, and whether
+    the position ids of its tokens run from 0 without a gap.
+
+    A conversation is what its last node attends to, and that node: its ancestors' intervals of the stream, in stream order. The stream is read
+    where these intervals start; ids of the nodes in between are not asked for."""
+    last = forest.members.select(conv, F.element_at("node_ids", -1).alias("node_id"))
+    ends = forest.nodes.select("node_id", F.array_append("attends", F.struct(F.col("stream_start").alias("start"), (F.col("stream_start") + F.col("n_tokens")).alias("stop"))).alias("spans"))
+    asked = last.join(ends, "node_id").select(conv, F.explode("spans").alias("x")).select(conv, F.col("x.start").alias("stream_start"), F.col("x.stop").alias("stop"))
+    ids = F.col("position_ids")
+    emitted = forest.nodes.select("stream_start", "formatted", "loss_start", "loss_stop", "n_tokens", F.get(ids, F.lit(0)).alias("first"), F.get(ids, F.size(ids) - 1).alias("last"), (F.size(ids) == F.col("n_tokens")).alias("each"))
+    found = asked.join(emitted, "stream_start").where(F.col("stop") == F.col("stream_start") + F.col("n_tokens"))
+    part = F.struct("stream_start", "formatted", "loss_start", "loss_stop", "first", "last", "each")
+    streams = found.groupBy(conv).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    schema = "conv bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint, positions_follow boolean"
     return streams.select(F.col(conv).alias("conv"), "parts").mapInArrow(_digest, schema).withColumnRenamed("conv", conv)
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made: list[list] = [[], [], [], [], []]
+        made: list[list] = [[], [], [], [], [], []]
         for parts in batch.column("parts").to_pylist():
             stream = "".join(x["formatted"] for x in parts)
             loss = "".join(unescape(x["formatted"][x["loss_start"] : x["loss_stop"]]) for x in parts if x["loss_start"] is not None)
@@ -197,7 +206,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             made[2].append(len(loss))
             made[3].append(hashlib.sha256(loss.encode()).hexdigest())
             made[4].append(len(stream))
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("conv"), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))], names=["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-        )
+            before = [-1, *(x["last"] for x in parts)]
+            made[5].append(all(x["each"] and x["first"] == b + 1 for x, b in zip(parts, before)))
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.bool_())
+        names = ["conv", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "positions_follow"]
+        yield pa.RecordBatch.from_arrays([batch.column("conv"), *(pa.array(x, k) for x, k in zip(made, kinds, strict=True))], names=names)

@@ -60,7 +60,7 @@ EQUIVALENT_WORDS = {
     "whilst": "while",
     "wilful": "wilfull",
 }
-EQUIVALENT_PHRASES = (("copyright owner", "copyright holder"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("http ", "https "))
+EQUIVALENT_PHRASES = (("copyright owner", "copyright holder"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("http", "https"))
 
 # Public licence texts and customary notices.
 _MIT_GRANT = (
@@ -96,6 +96,46 @@ _BSD_DISCLAIMER = (
     "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
     "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
 )
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this "
+    "software.\n\nPermission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject "
+    "to the following restrictions:\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this "
+    "software in a product, an acknowledgment in the product documentation would be appreciated but is not required.\n\n2. Altered source versions must be plainly marked as "
+    "such, and must not be misrepresented as being the original software.\n\n3. This notice may not be removed or altered from any source distribution."
+)
+_BOOST = (
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "
+    "\"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to "
+    "whom the Software is furnished to do so, all subject to the following:\n\nThe copyright notices in the Software and this entire statement, including the above license "
+    "grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless "
+    "such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", "
+    "WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND "
+    "NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR "
+    "OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either "
+    "in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.\n\nIn jurisdictions that recognize copyright laws, the author "
+    "or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and "
+    "to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software "
+    "under copyright law.\n\n" + _AS_IS.replace("AUTHORS OR COPYRIGHT HOLDERS", "AUTHORS") + "\n\nFor more information, please refer to <https://unlicense.org/>"
+)
+_APACHE_NOTICE = (
+    "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License "
+    "at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software distributed under the License is distributed on "
+    "an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations "
+    "under the License."
+)
+_GPL_NOTICE = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0}General Public License as published by the Free Software Foundation, "
+    "either version 3 of the License, or (at your option) any later version.\n\nThis program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without "
+    "even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0}General Public License for more details.\n\nYou should have received a copy "
+    "of the GNU {0}General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+)
+_MPL_NOTICE = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at "
+    "https://mozilla.org/MPL/2.0/."
+)
 KNOWN_TEXTS = (
     ("MIT", f"{_MIT_GRANT}, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n{_AS_IS}"),
     ("MIT", f"MIT License\n\nCopyright (c) <year> <copyright holders>\n\n{_MIT_GRANT}, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.\n\n{_AS_IS}"),
@@ -104,6 +144,15 @@ KNOWN_TEXTS = (
     ("0BSD", f"Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.\n\n{_ISC_DISCLAIMER}"),
     ("BSD-2-Clause", _BSD_CONDITIONS + _BSD_DISCLAIMER),
     ("BSD-3-Clause", _BSD_CONDITIONS + _BSD_THIRD + _BSD_DISCLAIMER),
+    ("Zlib", _ZLIB),
+    ("BSL-1.0", f"Boost Software License - Version 1.0 - August 17th, 2003\n\n{_BOOST}"),
+    ("BSL-1.0", _BOOST),
+    ("Unlicense", _UNLICENSE),
+    ("Apache-2.0", _APACHE_NOTICE),
+    ("GPL-3.0-or-later", _GPL_NOTICE.format("")),
+    ("AGPL-3.0-or-later", _GPL_NOTICE.format("Affero ")),
+    ("LGPL-3.0-or-later", _GPL_NOTICE.format("Lesser ")),
+    ("MPL-2.0", _MPL_NOTICE),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
@@ -117,10 +166,22 @@ def canonical(text: Column) -> Column:
     body = F.regexp_replace(small, COPYRIGHT_LINE, "$1")
     found = F.filter(F.split(F.regexp_replace(body, PUNCTUATION, " "), " "), lambda w: w != "")
     same = F.create_map(*[F.lit(x) for pair in EQUIVALENT_WORDS.items() for x in pair])
-    joined = F.array_join(F.transform(found, lambda w: F.coalesce(F.try_element_at(same, w), w)), " ")
+    # every word stands between spaces of its own, so that phrases match whole words only
+    joined = F.concat(F.lit(" "), F.array_join(F.transform(found, lambda w: F.coalesce(F.try_element_at(same, w), w)), "  "), F.lit(" "))
     for old, new in EQUIVALENT_PHRASES:
-        joined = F.replace(joined, F.lit(old), F.lit(new))
-    return joined
+        joined = F.replace(joined, F.lit(_spaced(old)), F.lit(_spaced(new)))
+    return F.trim(F.replace(joined, F.lit("  "), F.lit(" ")))
+
+
+def _spaced(phrase: str) -> str:
+    return " " + phrase.replace(" ", "  ") + " "
+
+
+def other_spelling(text: str) -> str:
+    """The same licence as others write it: a copyright line, capitals, other spellings, other punctuation and line ends."""
+    swapped = {new: old for old, new in EQUIVALENT_WORDS.items() if new != "while"}
+    words = [" ".join(swapped.get(w.lower(), w) for w in line.split(" ")) for line in text.replace("copyright holder ", "copyright owner ").replace("\"", "``").split("\n")]
+    return "Copyright (c) 1999 Somebody\n * " + " -\r\n * ".join(words).upper()
 
 
 def catalogue(spark: SparkSession, known: tuple[tuple[str, str], ...] = KNOWN_TEXTS) -> DataFrame:
@@ -148,7 +209,7 @@ def canonical_sql(text: str) -> str:
     body = f"regexp_replace({small}, {q(COPYRIGHT_LINE)}, '\\1', 'g')"
     found = f"list_filter(string_split(regexp_replace({body}, {q(PUNCTUATION)}, ' ', 'g'), ' '), lambda w: w <> '')"
     same = f"map([{', '.join(map(q, EQUIVALENT_WORDS))}], [{', '.join(map(q, EQUIVALENT_WORDS.values()))}])"
-    joined = f"array_to_string(list_transform({found}, lambda w: coalesce({same}[w], w)), ' ')"
+    joined = f"' ' || array_to_string(list_transform({found}, lambda w: coalesce({same}[w], w)), '  ') || ' '"
     for old, new in EQUIVALENT_PHRASES:
-        joined = f"replace({joined}, {q(old)}, {q(new)})"
-    return joined
+        joined = f"replace({joined}, {q(_spaced(old))}, {q(_spaced(new))})"
+    return f"trim(replace({joined}, '  ', ' '))"

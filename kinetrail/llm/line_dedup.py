@@ -1,16 +1,16 @@
 """Line dedup by site-relative frequency.
 
 A line is boilerplate of a host when the pages of that host that contain it, divided by all pages of the host, exceed
-``ratio``; it must be on ``min_pages`` pages at least. Boilerplate lines leave every page of that host, and only that host.
+``ratio``; it must be on ``min_pages`` pages at least, 2 by default: on a host of a few pages a line of one page would exceed any ratio. Boilerplate lines leave every page of that host, and only that host.
 
 Plan: lines become 128-bit keys, distinct within a page, and are counted by (host, key) with partial sums before the
 shuffle, so a host or a line that holds a third of all rows costs one row per task. What is boilerplate is small: a host
 whose pages have L lines on average has at most L / ratio such lines. Its size is measured; up to ``broadcast_rows`` keys it
-is broadcast, beyond that it is joined on (host, salt) so that a hot host spreads over ``salts`` tasks. Texts are never
+is broadcast, beyond that it is joined on (host, salt), the salt from text and input partition, so that a hot host and copies of one text spread over tasks. Texts are never
 shuffled on the first path.
 
 Null text stays null and counts as a page without lines. A null host is the host "". Empty lines are never boilerplate.
-Repeated rows are pages of their own. Other columns pass through untouched; ``n_lines`` and ``n_removed`` win over input columns
+Repeated rows are pages of their own; an empty table gives an empty table; long texts are taken whole. Other columns pass through untouched; ``n_lines`` and ``n_removed`` win over input columns
 of those names.
 """
 
@@ -39,7 +39,7 @@ def boilerplate(pages: DataFrame, text: Column, host: Column, ratio: float, min_
 
 
 def drop_boilerplate(
-    pages: DataFrame, text: str = "text", host: Column | str = "source", ratio: float = 0.1, min_pages: int = 5, broadcast_rows: int = 500_000, salts: int = 64
+    pages: DataFrame, text: str = "text", host: Column | str = "source", ratio: float = 0.1, min_pages: int = 2, broadcast_rows: int = 500_000, salts: int = 64
 ) -> DataFrame:
     """pages with boilerplate lines taken out of ``text``, plus ``n_lines`` and ``n_removed``."""
     host = pages[host] if isinstance(host, str) else host
@@ -49,7 +49,7 @@ def drop_boilerplate(
     if heavy.count() <= broadcast_rows:
         joined = rows.join(F.broadcast(by_host), _HOST, "left")
     else:
-        rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.col(_ROW)[text]), F.lit(salts)))
+        rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.col(_ROW)[text], F.spark_partition_id()), F.lit(salts)))
         spread = by_host.withColumn(_SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
         joined = rows.join(spread, [_HOST, _SALT], "left")
     old = F.split(F.col(_ROW)[text], "\n", -1)

@@ -109,3 +109,12 @@ def test_round_trip(spark):
         assert got[i].decoded_sha256 == digest(t or "")
     back = byte_bpe.decode(byte_bpe.encode(docs, into="n_tokens"), ids="n_tokens").collect()
     assert all(bytes(r.bytes).decode() == (r.text or "") for r in back)
+
+
+def test_made_columns_win_over_kept_ones(spark):
+    docs = spark.createDataFrame([(1, "a b", 7, "t"), (1, "a b", 7, "t"), (2, None, 8, None)], "doc_id long, text string, n_tokens long, __text__ string")
+    got = byte_bpe.round_trip(docs, ("doc_id", "n_tokens", "__text__", "text"))
+    assert got.columns == ["doc_id", "__text__", "text", "n_tokens", "ids_sha256", "decoded_sha256"]
+    rows = got.collect()
+    assert len(rows) == 3 and {r.decoded_sha256 for r in rows} == {digest("a b"), digest("")}
+    assert byte_bpe.round_trip(docs.limit(0), ("doc_id",)).count() == 0

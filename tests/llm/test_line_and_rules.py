@@ -89,3 +89,16 @@ def test_licence_sql_agrees(spark):
     want = dict(con.execute(f"SELECT i, {license_scan.canonical_sql('t')} FROM d").fetchall())
     df = spark.createDataFrame(rows, "i int, t string")
     assert {r.i: r.c for r in df.select("i", license_scan.canonical(df.t).alias("c")).collect()} == want
+
+
+def test_other_spellings_are_found(spark):
+    """Every known text with a copyright line, capitals, other spellings and punctuation; phrases inside words stay."""
+    known = license_scan.KNOWN_TEXTS
+    rows = [(i, license_scan.other_spelling(text)) for i, (_, text) in enumerate(known)] + [(99, "super century"), (98, known[0][1] + " more"), (97, known[0][1]), (97, known[0][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = license_scan.scan(docs, license_scan.catalogue(spark)).collect()
+    found = {r.doc_id: r.license_id for r in got}
+    assert len(got) == len(rows) and [found[i] for i in range(len(known))] == [k for k, _ in known]
+    assert found[99] is None and found[98] is None and found[97] == "MIT"
+    shown = docs.where("doc_id = 99").select(license_scan.canonical(docs.text).alias("c")).first().c
+    assert shown == "super century"
