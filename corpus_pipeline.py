@@ -2,6 +2,10 @@
 
 Each stage works on all rows that its predecessor kept. All but the last return the columns of ``documents``; a stage that edits
 texts sets n_chars to the new length. Stages that reject drop whole rows.
+
+In every stage nulls of any column pass through, and null text counts as empty; quality rules reject empty texts, so later stages see none from ``run``.
+Repeated rows are judged each, and near-duplicates keep one of them. Ties of the least id go to the least text digest. An empty table goes
+through empty. Columns that ``documents`` does not have are left behind. Long texts are taken whole.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines on more than a tenth of a source's documents out of that source's texts."""
-    found = line_dedup.drop_boilerplate(docs.select(*COLUMNS), ratio=0.1, min_pages=5)
+    found = line_dedup.drop_boilerplate(docs.select(*COLUMNS), ratio=0.1, min_pages=2)
     length = F.when(F.col("n_removed") > 0, F.length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return found.select("doc_id", "text", "lang", "source", length.alias("n_chars"))
 
