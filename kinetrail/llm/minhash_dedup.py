@@ -478,7 +478,8 @@ def representatives(docs: DataFrame, text: str = "text", key: str = "doc_id", po
     ids = _members(docs, text, key, policy)
     first = ids.groupBy("label").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "v")).alias("x")).select("x.v", F.col("x.id").alias("own"))
     rows = docs.select(F.struct(*[docs[x] for x in docs.columns]).alias("row"), docs[key].alias("id"), _vertex(docs[text]).alias("v"))
-    found = rows.join(_few(first, first.count()), "v").where(F.col("id").eqNullSafe(F.col("own")))
+    # texts move once, at every size: the kept digests grow with the documents
+    found = rows.join(first, "v").where(F.col("id").eqNullSafe(F.col("own")))
     unique = rows.groupBy("v", "id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
     if not unique:  # only then texts move
         found = found.withColumn("content", F.to_json("row")).groupBy("v").agg(F.min_by("row", "content").alias("row"))
