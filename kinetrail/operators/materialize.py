@@ -81,7 +81,7 @@ def read_with_derived(frames: DataFrame, keys: list[str], order: str, derived: l
     for d in derived:
         if d["source"] not in out.columns:
             continue
-        value = F.col(d["source"])
+        value = F.col(f"`{d['source']}`")
         if d.get("indices"):
             source = value
             value = F.array(*[F.get(source, F.lit(i)) for i in d["indices"]])
@@ -90,7 +90,7 @@ def read_with_derived(frames: DataFrame, keys: list[str], order: str, derived: l
             out = out.withColumn(d["target"], F.coalesce(F.lead("__v__").over(Window.partitionBy(*keys).orderBy(order)), F.col("__v__"))).drop("__v__")
         else:
             out = out.withColumn(d["target"], derive(value, d["op"]))
-    return out.select(*[c for c in dict.fromkeys([*keys, order, *columns]) if c in out.columns])
+    return out.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*keys, order, *columns]) if c in out.columns])
 
 
 def canonical_rows(frames: DataFrame, keys: list[str], order: str, time: str, mapping: list[tuple[int, int]], held: list[int], vector: str, size: int = 80, fps: float = TARGET_FPS) -> DataFrame:

@@ -85,8 +85,11 @@ def tar_members(spark: SparkSession, paths: list[str], pattern: str = "", payloa
     return spark.read.format("tar_members").option("paths", "\n".join(paths)).option("pattern", pattern).option("payload", str(payload).lower()).load()
 
 
-def members_by_offset(members, payloads: str = "payload"):
-    """members (archive, offset, size) with payloads read by seeking; for uncompressed archives whose index is known."""
+def members_by_offset(members, payloads: str = "payload", span: int = 1 << 28):
+    """members (archive, offset, size) with payloads read by seeking; for uncompressed archives whose index is known.
+
+    Tasks take stretches of ``span`` bytes, so one large archive is read by many."""
+    from pyspark.sql import functions as F
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +105,7 @@ def members_by_offset(members, payloads: str = "payload"):
                     source.close()
             yield pa.RecordBatch.from_arrays([batch.column("archive"), batch.column("member"), pa.array(out, pa.binary())], names=["archive", "member", payloads])
 
-    return members.select("archive", "member", "offset", "size").repartition("archive").mapInArrow(run, f"archive string, member string, {payloads} binary")
+    return members.select("archive", "member", "offset", "size").repartition("archive", F.floor(F.col("offset") / span)).sortWithinPartitions("archive", "offset").mapInArrow(run, f"archive string, member string, {payloads} binary")
 
 
 class StepUnpickler(pickle.Unpickler):
