@@ -130,8 +130,8 @@ def top_by_role(items: DataFrame, keys: list[str], role: str, order: list[Column
 
 
 def resolve_profiles(rows: DataFrame, profiles: DataFrame, key: str, defaults: dict) -> DataFrame:
-    """rows with each default column, taken from the profile of ``key`` where it sets one. Profiles are few: one a dataset."""
-    joined = rows.join(F.broadcast(profiles), key, "left")
+    """rows with each default column, taken from the profile of ``key`` where it sets one."""
+    joined = rows.join(profiles, key, "left")
     return joined.select(*[rows[x] for x in rows.columns], *[F.coalesce(profiles[x], F.lit(v)).alias(x) for x, v in defaults.items()])
 
 

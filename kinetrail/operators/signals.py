@@ -28,31 +28,31 @@ def threshold(median: Column, mad: Column, floor: Column | float = 0.0) -> Colum
 def dimension_metrics(samples: DataFrame, keys: list[str], floor: float = 0.0, extreme: float = 10.0) -> DataFrame:
     """One row a dimension: quantiles, robust step statistics, abrupt and extreme counts. keys name one dimension of one episode.
 
-    Medians take a second pass and deviations a third; all are partitioned alike. Non-finite samples count in the lengths only."""
-    value, order = F.col("value"), Window.partitionBy(*keys).orderBy("idx")
-    ok = finite(value)
-    clean = F.when(ok, value)
-    before = F.lag("clean").over(order)
-    steps = samples.withColumn("clean", clean).withColumn("step", F.abs(F.col("clean") - before))
-    base = steps.groupBy(*keys).agg(
+    Medians and deviations are windows over the dimension, so that samples are dealt and sorted once. Non-finite samples count in the lengths only."""
+    value, whole = F.col("value"), Window.partitionBy(*keys)
+    steps = samples.withColumn("clean", F.when(finite(value), value))
+    steps = steps.withColumn("step", F.abs(F.col("clean") - F.lag("clean").over(whole.orderBy("idx"))))
+    steps = steps.withColumn("__range__", F.max("clean").over(whole) - F.min("clean").over(whole))
+    steps = steps.withColumn("a", F.when(F.col("step") > F.greatest(F.lit(EPSILON), F.coalesce("__range__", F.lit(0.0)) * 1e-10), F.col("step")))
+    steps = steps.withColumn("m", F.median("a").over(whole))
+    steps = steps.withColumn("mad", F.median(F.abs(F.col("a") - F.col("m"))).over(whole))
+    steps = steps.withColumn("limit", threshold(F.col("m"), F.col("mad"), floor))
+    found = steps.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("sample_count"),
         F.count("clean").alias("finite_count"),
         F.percentile("clean", F.array(F.lit(0.01), F.lit(0.5), F.lit(0.99))).alias("q"),
-        (F.max("clean") - F.min("clean")).alias("range"),
+        F.max("__range__").alias("range"),
         F.coalesce(F.median("step"), F.lit(0.0)).alias("median_abs_step"),
         F.coalesce(F.max("step"), F.lit(0.0)).alias("maximum_abs_step"),
-    )
-    active = steps.select(*keys, "step").join(base.select(*keys, "range"), keys)
-    active = active.withColumn("a", F.when(F.col("step") > F.greatest(F.lit(EPSILON), F.coalesce("range", F.lit(0.0)) * 1e-10), F.col("step")))
-    middle = active.groupBy(*keys).agg(F.count("a").alias("active_step_count"), F.median("a").alias("m"))
-    spread = active.join(middle.select(*keys, "m"), keys).groupBy(*keys).agg(F.median(F.abs(F.col("a") - F.col("m"))).alias("mad"))
-    limits = middle.join(spread, keys).withColumn("limit", threshold(F.col("m"), F.col("mad"), floor))
-    over = active.join(limits.select(*keys, "limit"), keys).groupBy(*keys).agg(
+        F.count("a").alias("active_step_count"),
+        F.max("m").alias("m"),
+        F.max("mad").alias("mad"),
+        F.max("limit").alias("limit"),
         F.count_if((F.col("limit") > 0) & (F.col("step") > F.col("limit"))).alias("abrupt_step_count"),
         F.count_if((F.col("limit") > 0) & (F.col("step") > F.col("limit") * extreme)).alias("extreme_abrupt_step_count"),
     )
     ratio = F.greatest(F.col("sample_count") - 1, F.lit(1))
-    return base.join(limits, keys).join(over, keys).select(
+    return found.select(
         *keys,
         "sample_count",
         "finite_count",

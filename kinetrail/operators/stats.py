@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinetrail.functions.scalar import finite
@@ -30,8 +30,11 @@ def masked_moments(rows: DataFrame, keys: list[str], vector: str, mask: str | No
     )
 
 
-def column_stats(rows: DataFrame, keys: list[str], vector: str, approximate: bool = False) -> DataFrame:
-    """(keys, dim, count, mean, std, min, max, q01, q99). Exact quantiles by default; ``approximate`` for groups beyond memory."""
+def column_stats(rows: DataFrame, keys: list[str], vector: str, approximate: bool | None = None, exact_rows: int = 10_000_000) -> DataFrame:
+    """(keys, dim, count, mean, std, min, max, q01, q99). Quantiles are exact for up to ``exact_rows`` counted rows, beyond from a sketch with a rank error
+    of 1 in 10,000, which merges partial results and holds no group in memory; ``approximate`` says which without counting."""
+    if approximate is None:
+        approximate = rows.count() > exact_rows
     each = rows.select(*keys, F.posexplode(vector).alias("dim", "value")).withColumn("value", F.col("value").cast("double")).where(finite(F.col("value")))
     q = F.percentile_approx("value", [0.01, 0.99], 10_000) if approximate else F.percentile("value", F.array(F.lit(0.01), F.lit(0.99)))
     out = each.groupBy(*keys, "dim").agg(
@@ -62,16 +65,20 @@ def lag_alignment(pairs: DataFrame, keys: list[str], slot: str = "slot", longest
     """Best lag between action and state series: for each lag the median over slots of Pearson's correlation of action(t) with
     state(t + lag), over finite pairs, 8 at least; the best median, the lowest lag on ties.
 
-    pairs: (keys, slot, idx, action, state). Lags are exploded and joined by index: lags x rows, partitioned by episode and slot."""
-    acts = pairs.where(finite(F.col("action"))).select(*keys, slot, F.col(index).alias("t"), "action")
-    asked = acts.select("*", F.explode(F.sequence(F.lit(0), F.lit(longest))).alias("lag")).withColumn(index, F.col("t") + F.col("lag"))
-    feedback = pairs.where(finite(F.col("state"))).select(*keys, slot, index, "state")
-    both = asked.join(feedback, [*keys, slot, index])
-    scored = both.groupBy(*keys, slot, "lag").agg(
-        F.count(F.lit(1)).alias("n"), F.corr("action", "state").alias("r"), (F.stddev_pop("action") * F.sqrt(F.count(F.lit(1)))).alias("na"), (F.stddev_pop("state") * F.sqrt(F.count(F.lit(1)))).alias("ns")
-    )
-    usable = scored.where((F.col("n") >= 8) & (F.col("na") > 1e-12) & (F.col("ns") > 1e-12))
-    by_lag = usable.groupBy(*keys, "lag").agg(F.median("r").alias("score"), F.count(F.lit(1)).alias("dims"))
-    best = by_lag.groupBy(*keys).agg(F.max(F.struct("score", (-F.col("lag")).alias("back"), "dims")).alias("b"))
+    pairs: (keys, slot, idx, action, state), a row for each place. Lags are columns of one pass over one partitioning."""
+    order = Window.partitionBy(*keys, slot).orderBy(index)
+    clean = lambda c: F.when(finite(F.col(c)), F.col(c))
+    rows = pairs.select(*keys, slot, index, clean("action").alias("action"), clean("state").alias("state"))
+    rows = rows.select(*keys, slot, "action", *[F.lead("state", k).over(order).alias(f"s{k}") for k in range(longest + 1)])
+    found = []
+    for k in range(longest + 1):
+        both = F.col("action").isNotNull() & F.col(f"s{k}").isNotNull()
+        a, s, n = F.when(both, F.col("action")), F.when(both, F.col(f"s{k}")), F.count_if(both)
+        varies = (n >= 8) & (F.stddev_pop(a) * F.sqrt(n) > 1e-12) & (F.stddev_pop(s) * F.sqrt(n) > 1e-12)
+        found.append(F.when(varies, F.corr(a, s)).alias(f"r{k}"))
+    each = rows.groupBy(*keys, slot).agg(*found)
+    scores = each.groupBy(*keys).agg(*[F.median(f"r{k}").alias(f"m{k}") for k in range(longest + 1)], *[F.count(f"r{k}").alias(f"c{k}") for k in range(longest + 1)])
+    tried = F.array(*[F.when(F.col(f"m{k}").isNotNull(), F.struct(F.col(f"m{k}").alias("score"), F.lit(-k).alias("back"), F.col(f"c{k}").alias("dims"))) for k in range(longest + 1)])
+    best = scores.select(*keys, F.array_max(F.array_compact(tried)).alias("b")).where("b IS NOT NULL")
     status = F.when(F.col("b.score") >= least, F.lit("passed")).otherwise(F.lit("low_confidence"))
     return best.select(*keys, (-F.col("b.back")).alias("best_lag"), F.col("b.score").alias("score"), F.col("b.dims").alias("dims"), status.alias("status"))

@@ -37,11 +37,17 @@ def unique_frames(points: Column, duration: Column, fps: Column) -> Column:
 
 
 def split(windows: DataFrame, bad: DataFrame, width: int, key: str = "episode_id") -> DataFrame:
-    """(key, start, mode): hard trouble of video or time drops a window, of state or action makes it video_only, else joint."""
-    seen = iv.unblocked(windows, bad, width, ["video", "temporal"], key=key)
-    controls = ["state", "action"]
-    joint = iv.unblocked(seen, bad, width, controls, key=key).withColumn("mode", F.lit("joint"))
-    return joint.unionByName(iv.blocked(seen, bad, width, controls, key=key).withColumn("mode", F.lit("video_only")))
+    """(key, start, mode): hard trouble of video or time drops a window, of state or action makes it video_only, else joint.
+
+    One range join within the episode's partitioning: intervals of a kind are united first, so a window meets few."""
+    kinds = {"seen": ["video", "temporal"], "moved": ["state", "action"]}
+    flags = [F.arrays_overlap("domains", F.array(*[F.lit(d) for d in v])).alias(k) for k, v in kinds.items()]
+    hard = iv.coalesce(bad.where("severity = 'hard'").select(key, "start", "stop", *flags).where("seen OR moved"), [key, "seen", "moved"])
+    spans = hard.select(F.col(key).alias("__k__"), F.col("start").alias("__a__"), F.col("stop").alias("__b__"), "seen", "moved")
+    meets = (F.col(key) == F.col("__k__")) & (F.col("start") < F.col("__b__")) & (F.col("start") + width > F.col("__a__"))
+    both = windows.select(key, "start").join(spans, meets, "left").groupBy(key, "start")
+    judged = both.agg(F.coalesce(F.bool_or("seen"), F.lit(False)).alias("seen"), F.coalesce(F.bool_or("moved"), F.lit(False)).alias("moved"))
+    return judged.where("NOT seen").select(key, "start", F.when(F.col("moved"), "video_only").otherwise("joint").alias("mode"))
 
 
 def index(windows: DataFrame, stride: int, key: str = "episode_id") -> DataFrame:

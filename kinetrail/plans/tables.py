@@ -207,9 +207,9 @@ def rotations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _vectors(spark, sf_dir)
     e = lambda k: F.get("v", F.lit(k))
     a, b = sc.rpy_to_rotvec(e(0) * 3, e(1) * 3, e(2) * 3), sc.quaternion_to_rotvec(e(3), e(4), e(5), e(6))
-    base = F.first("v").over(Window.partitionBy("label").orderBy("vec_id"))
+    base = rows.groupBy("label").agg(F.min_by("v", "vec_id").alias("base"))
     rel = sc.relative_pose([e(k) for k in range(7, 14)], [F.get("base", F.lit(k)) for k in range(7, 14)])
-    out = rows.withColumn("base", base).select("vec_id", a.alias("a"), b.alias("b"), rel.alias("r"))
+    out = rows.join(base, "label").select("vec_id", a.alias("a"), b.alias("b"), rel.alias("r"))
     return rounded(out.select("vec_id", *[F.get("a", F.lit(k)).alias(f"rpy_{k}") for k in range(3)], *[F.get("b", F.lit(k)).alias(f"quat_{k}") for k in range(3)], F.get("r", F.lit(0)).alias("rel_x"), F.get("r", F.lit(6)).alias("rel_w")), 5)
 
 
@@ -272,8 +272,12 @@ def worker_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quantile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketched quantiles, and whether each lies between the exact ones two rank errors to either side."""
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", F.array("l_extendedprice", "l_quantity").alias("v"))
-    return stats.column_stats(lines, ["l_returnflag"], "v", approximate=True)
+    sketch = stats.column_stats(lines, ["l_returnflag"], "v", approximate=True)
+    exact = lines.select("l_returnflag", F.posexplode("v").alias("dim", "x")).groupBy("l_returnflag", "dim").agg(F.percentile("x", F.array(*[F.lit(q) for q in (0.0098, 0.0102, 0.9898, 0.9902)])).alias("e"))
+    inside = lambda q, i: F.col(q).between(F.floor(F.get("e", F.lit(i))), F.ceil(F.get("e", F.lit(i + 1))))
+    return sketch.join(exact, ["l_returnflag", "dim"]).select("l_returnflag", "dim", "count", inside("q01", 0).alias("q01_near"), inside("q99", 2).alias("q99_near"))
 
 
 QUERIES = {
@@ -347,6 +351,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, slot FROM a UNION ALL SELECT l_order
 p AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY (r > 1)::INT, pixels DESC, l_linenumber, l_partkey) AS rank FROM k) SELECT l_orderkey, l_linenumber, l_partkey, role, rank FROM p WHERE rank <= 3""",
     "vector_dim_stats": f"WITH {_VEC} SELECT label, dim::INT AS dim, count(x) AS count, round(avg(x), 5) AS mean, round(stddev_pop(x), 5) AS std, round(min(x), 5) AS min, round(max(x), 5) AS max, round(quantile_cont(x, 0.01), 5) AS q01, round(quantile_cont(x, 0.99), 5) AS q99 FROM each GROUP BY 1, 2",
     "vector_scatter": "SELECT vec_id, round(embedding[3]::DOUBLE, 5) AS slot_0, round(embedding[2]::DOUBLE, 5) AS slot_6, round(embedding[1]::DOUBLE, 5) AS slot_14, 0.0::DOUBLE AS slot_20, round(embedding[64]::DOUBLE, 5) AS slot_79, 80::BIGINT AS width, 4::BIGINT AS valid FROM embeddings",
+    "quantile_approx": "SELECT l_returnflag, unnest([0, 1])::INT AS dim, count(*) AS count, true AS q01_near, true AS q99_near FROM lineitem GROUP BY l_returnflag",
     "rotations": f"""WITH {_VEC}, h AS (SELECT *, v[1] * 1.5 AS r, v[2] * 1.5 AS p, v[3] * 1.5 AS y, first_value(v) OVER (PARTITION BY label ORDER BY vec_id) AS b, sqrt(v[4] ** 2 + v[5] ** 2 + v[6] ** 2 + v[7] ** 2) AS n FROM v),
 q AS (SELECT *, sin(r) * cos(p) * cos(y) - cos(r) * sin(p) * sin(y) AS qx, cos(r) * sin(p) * cos(y) + sin(r) * cos(p) * sin(y) AS qy, cos(r) * cos(p) * sin(y) - sin(r) * sin(p) * cos(y) AS qz, cos(r) * cos(p) * cos(y) + sin(r) * sin(p) * sin(y) AS qw FROM h),
 k AS (SELECT *, sqrt(qx * qx + qy * qy + qz * qz) AS l1, sqrt(v[4] ** 2 + v[5] ** 2 + v[6] ** 2) / n AS l2 FROM q),

@@ -21,13 +21,17 @@ def rates(stream: DataFrame, key: str, time: str, window: str = "10 seconds", la
     return grouped.agg(F.count(F.lit(1)).alias("frames"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std")).select(key, F.col("window.start").alias("start"), F.col("window.end").alias("stop"), "frames", "mean", "std")
 
 
-def count_windows(stream: DataFrame, key: str, width: int, stride: int) -> DataFrame:
+def count_windows(stream: DataFrame, key: str, width: int, stride: int, idle_ms: int | None = None) -> DataFrame:
     """(key, start, first, last): sliding windows by count of rows, emitted as soon as they fill. Rows of a key arrive in order of idx.
 
-    State is the last ``width`` values of each key."""
+    State is the last ``width`` values of each key; with ``idle_ms`` a key that is idle for so long is
+    forgotten, as a stream that never ends needs; a run that drains its input must go without."""
     out = f"{key} bigint, start bigint, first double, last double"
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         seen, values = state.get if state.exists else (0, [])
         values, made = list(values), []
         for value in pd.concat(list(batches)).sort_values("idx")["value"].tolist():
@@ -38,18 +42,24 @@ def count_windows(stream: DataFrame, key: str, width: int, stride: int) -> DataF
             if start >= 0 and start % stride == 0:
                 made.append((group[0], start, values[0], values[-1]))
         state.update((seen, values))
+        if idle_ms:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(made, columns=[key, "start", "first", "last"])
 
-    return stream.groupBy(key).applyInPandasWithState(step, out, "seen bigint, tail array<double>", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, out, "seen bigint, tail array<double>", "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
 
 
-def unwrapped(stream: DataFrame, key: str) -> DataFrame:
-    """(key, idx, unwrapped): angles without whole turns between neighbours, carried over batches by the last angle of each key."""
+def unwrapped(stream: DataFrame, key: str, idle_ms: int | None = None) -> DataFrame:
+    """(key, idx, unwrapped): angles without whole turns between neighbours, carried over batches by the last angle of each key, until the key is idle
+    for ``idle_ms``."""
     import math
 
     out = f"{key} bigint, idx bigint, unwrapped double"
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         last = state.get[0] if state.exists else None
         made = []
         for idx, value in pd.concat(list(batches)).sort_values("idx")[["idx", "value"]].itertuples(index=False):
@@ -61,6 +71,8 @@ def unwrapped(stream: DataFrame, key: str) -> DataFrame:
             made.append((group[0], idx, value))
         if last is not None:
             state.update((last,))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(made, columns=[key, "idx", "unwrapped"])
 
-    return stream.groupBy(key).applyInPandasWithState(step, out, "last double", "append", GroupStateTimeout.NoTimeout)
+    return stream.groupBy(key).applyInPandasWithState(step, out, "last double", "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
