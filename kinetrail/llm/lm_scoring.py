@@ -44,7 +44,7 @@ BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: tokens that a task counts before it sends them on, and about as many a shard
-_FLUSH, _SHARD = 1 << 21, 1 << 21
+_FLUSH, _SHARD = 1 << 21, 1 << 23
 _ROWS = "shard int, parts array<binary>, sums array<bigint>"
 #: shards of contexts are numbered from here on, those of n-grams from 0, rows of sums below 0
 _CONTEXTS = 1 << 20
@@ -95,8 +95,9 @@ def _cuts(values: np.ndarray, bits: int) -> np.ndarray:
 
 
 def _small(n: np.ndarray) -> np.ndarray:
-    """Counts in four bytes each where they fit, else in eight."""
-    return n.astype(np.uint32 if not len(n) or n.max() < 1 << 32 else np.uint64)
+    """Counts in as few bytes each as the largest needs."""
+    most = int(n.max()) if len(n) else 0
+    return n.astype(next(kind for size, kind in _KINDS.items() if most < 1 << 8 * size))
 
 
 def _packed(n: np.ndarray) -> bytes:
@@ -109,6 +110,31 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, _KINDS[raw[0]], offset=1).astype(np.int64)
 
 
+def _dealt_grams(bits: int, key: np.ndarray, words: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple]:
+    """Rows of n-grams by shard, in the order of their first words: each of these once with its run, the other words, then counts."""
+    if len(words) == 1:
+        return _dealt(0, bits, key, words, counts)
+    cut = _cuts(key, bits)
+    rows = []
+    for k, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)):
+        if b > a:
+            order, at = _grouped(words[0][a:b])
+            runs = np.diff(np.append(at, b - a))
+            rows.append((k, [words[0][a:b][order[at]].tobytes(), _packed(runs), *(w[a:b][order].tobytes() for w in words[1:]), *(_packed(n[a:b][order]) for n in counts)], None))
+    return rows
+
+
+def _gram_parts(table: pa.Table, size: int, counts: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The words and counts of all rows of a shard, each put together."""
+    if size == 1:
+        word, *n = _parts(table, 1, counts)
+        return [word], n
+    rows = table.column("parts").to_pylist()
+    first = np.concatenate([np.repeat(np.frombuffer(r[0], np.uint64), _unpacked(r[1])) for r in rows])
+    words = [np.concatenate([np.frombuffer(r[i], np.uint64) for r in rows]) for i in range(2, size + 1)]
+    return [first, *words], [np.concatenate([_unpacked(r[i]) for r in rows]) for i in range(size + 1, size + 1 + counts)]
+
+
 def _dealt(base: int, bits: int, key: np.ndarray, hashes: list[np.ndarray], counts: list[np.ndarray]) -> list[tuple]:
     """Rows of sorted keys by shard: hashes in eight bytes each, then counts."""
     cut = _cuts(key, bits)
@@ -129,7 +155,7 @@ def _count(bits: int, order: int, text: str, train: str):
         def flush() -> pa.RecordBatch:
             words = [np.concatenate(x) for x in zip(*held, strict=True)]
             key, words, (n,) = _summed(words, np.ones(len(words[0]), np.int64))
-            return _batch(_dealt(0, bits, key, words, [n, n]))
+            return _batch(_dealt_grams(bits, key, words, [n]))
 
         for batch in batches:
             batch = batch.filter(batch.column(train))
@@ -152,8 +178,8 @@ def _parts(table: pa.Table, hashes: int, counts: int) -> list[np.ndarray]:
     return [np.concatenate([np.frombuffer(r[i], np.uint64) if i < hashes else _unpacked(r[i]) for r in rows]) for i in range(hashes + counts)]
 
 
-def _merge(bits: int, folder: str, size: int):
-    """One shard of n-grams of ``size`` words, or of the contexts of one word more."""
+def _merge(bits: int, folder: str, size: int, highest: bool):
+    """One shard of n-grams of ``size`` words, or of the contexts of one word more. At the highest order the count is that of the text."""
 
     def contexts(shard: int, table: pa.Table) -> list[tuple]:
         key, *sums = _parts(table, 1, 4)
@@ -162,8 +188,9 @@ def _merge(bits: int, folder: str, size: int):
         return []
 
     def grams(shard: int, table: pa.Table) -> list[tuple]:
-        *words, n, times = _parts(table, size, 2)
-        key, words, (n, times) = _summed(words, n, times)
+        words, counts = _gram_parts(table, size, 1 if highest else 2)
+        key, words, counts = _summed(words, *counts)
+        n, times = counts[0], counts[-1]
         _write(folder, f"grams{size}-{shard}", [key, _small(n), *([_small(times)] if size == 1 else [])])
         rows = [(-1 - shard, None, [size, len(n), int(n.sum()), *(int((n == k).sum()) for k in (1, 2, 3, 4)), int((n > 2).sum())])]
         if size > 1:
@@ -172,7 +199,7 @@ def _merge(bits: int, folder: str, size: int):
             sums = [np.add.reduceat(x[order].astype(np.int64), at) for x in (n, n == 1, n == 2, n > 2)]
             rows += _dealt(_CONTEXTS, bits, context[order[at]], [context[order[at]]], sums)
             key, words, (before, times) = _summed(words[1:], np.ones(len(n), np.int64), times)
-            rows += _dealt(0, bits, key, words, [before, times])
+            rows += _dealt_grams(bits, key, words, [before, times])
         return rows
 
     def run(table: pa.Table) -> pa.Table:
@@ -213,7 +240,7 @@ def _write(folder: str, name: str, arrays: list[np.ndarray]) -> None:
     store.move(aside, f"{root}/{name}")
 
 
-_KINDS = {8: np.uint64, 4: np.uint32}
+_KINDS = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.uint64}
 
 
 @lru_cache(maxsize=4096)
@@ -313,7 +340,7 @@ def fit(docs: DataFrame, train: Column, text: str = "text", order: int = 3) -> N
     bits = min(16, max(2, (size // (6 * _SHARD)).bit_length()))
     rows = source.mapInArrow(_count(bits, order, "text", "train"), _ROWS)
     for k in range(order, 0, -1):
-        rows = rows.groupBy("shard").applyInArrow(_merge(bits, folder, k), _ROWS)
+        rows = rows.groupBy("shard").applyInArrow(_merge(bits, folder, k, k == order), _ROWS)
     each = rows.where("sums IS NOT NULL").select(F.col("sums")[0].cast("int").alias("k"), F.posexplode("sums").alias("i", "n"))
     found = {k: [0] * 8 for k in range(1, order + 1)}
     for r in each.groupBy("k", "i").agg(F.sum("n").alias("n")).collect():
