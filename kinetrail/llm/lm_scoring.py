@@ -44,7 +44,7 @@ BEGIN, END = np.uint64(0x243F6A8885A308D3), np.uint64(0x13198A2E03707344)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: tokens that a task counts before it sends them on, and about as many a shard
-_FLUSH, _SHARD = 1 << 21, 1 << 23
+_FLUSH, _SHARD = 1 << 21, 1 << 22
 _ROWS = "shard int, parts array<binary>, sums array<bigint>"
 #: shards of contexts are numbered from here on, those of n-grams from 0, rows of sums below 0
 _CONTEXTS = 1 << 20
@@ -168,6 +168,8 @@ def _count(bits: int, order: int, text: str, train: str):
                     waiting = 0
         if held:
             yield flush()
+        held.clear()
+        c.release()
 
     return run
 
@@ -189,6 +191,7 @@ def _merge(bits: int, folder: str, size: int, highest: bool):
 
     def grams(shard: int, table: pa.Table) -> list[tuple]:
         words, counts = _gram_parts(table, size, 1 if highest else 2)
+        del table
         key, words, counts = _summed(words, *counts)
         n, times = counts[0], counts[-1]
         _write(folder, f"grams{size}-{shard}", [key, _small(n), *([_small(times)] if size == 1 else [])])
@@ -207,7 +210,10 @@ def _merge(bits: int, folder: str, size: int, highest: bool):
         if shard < 0:
             return table.select(["shard", "parts", "sums"])
         rows = contexts(shard - _CONTEXTS, table) if shard >= _CONTEXTS else grams(shard, table)
-        return pa.Table.from_batches([_batch(rows)])
+        out = pa.Table.from_batches([_batch(rows)])
+        del rows, table
+        c.release()
+        return out
 
     return run
 
