@@ -13,7 +13,7 @@ templates, and the three replacements undo exactly. Tokens are the code points o
 Plan: turns are gathered by conversation (a conversation is one training example and fits in memory); node rows are
 aggregated by node id with partial aggregation, so a first turn shared by a third of all conversations is one row a task.
 Depth-first order is a range sort by path key; offsets are prefix sums in two passes (sums of each range, then within). Ancestor
-intervals come from a join on ancestor id that adaptive execution can split.
+intervals are a window along each conversation, a row a turn.
 
 Null text or role is empty; turns are in order of ``turn`` (nulls first), ties by role and text; repeated rows are turns of
 their own; rows with a null conv_id are one conversation. An empty table gives empty tables. Other columns are ignored.
@@ -63,10 +63,11 @@ def parse(formatted: str) -> list[tuple[str, str]]:
 class ChatForest:
     """nodes: node_id, parent_id, tree_id, depth, role, formatted, n_tokens, stream_start, position_start, position_ids,
     attends (array of [start, stop) in stream order), loss_start, loss_stop (code points of formatted; null without loss).
-    members: conv_id and node_ids from the first turn to the last."""
+    members: conv_id and node_ids from the first turn to the last. spans: node_id and its [start, stop) of the stream."""
 
     nodes: DataFrame
     members: DataFrame
+    spans: DataFrame
 
 
 _PATHS = T.StructType(
@@ -124,32 +125,23 @@ def build(turns: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
     placed = ordered.join(F.broadcast(before), "part").withColumn("stream_start", F.coalesce("before", F.lit(0)) + F.sum("n_tokens").over(inside) - F.col("n_tokens"))
     placed = staged(placed.drop("part", "before"), "chat-placed")
 
-    chain = each_path(rows)
-    spans = placed.select(F.col("node_id").alias("above"), F.col("stream_start").alias("start"), (F.col("stream_start") + F.col("n_tokens")).alias("stop"))
-    above = chain.join(spans, "above").groupBy("node_id").agg(F.array_sort(F.collect_list(F.struct("level", "above", "start", "stop"))).alias("a"))
-    out = placed.join(above, "node_id", "left").select(
+    # along each conversation: what stands above a turn; the same for all conversations that share the node
+    spans = placed.select("node_id", F.col("stream_start").alias("start"), (F.col("stream_start") + F.col("n_tokens")).alias("stop"))
+    steps = rows.select("conv", F.posexplode("node_id").alias("at", "node_id")).join(spans, "node_id")
+    along = Window.partitionBy("conv").orderBy("at")
+    above = along.rowsBetween(Window.unboundedPreceding, -1)
+    seen = steps.select(
         "node_id",
-        F.get(F.col("a.above"), F.size("a") - 1).alias("parent_id"),
-        F.coalesce(F.get(F.col("a.above"), F.lit(0)), "node_id").alias("tree_id"),
-        F.coalesce(F.size("a"), F.lit(0)).alias("depth"),
-        "role",
-        "formatted",
-        "n_tokens",
-        "stream_start",
-        F.coalesce(F.aggregate("a", F.lit(0).cast("bigint"), lambda s, x: s + x["stop"] - x["start"]), F.lit(0)).alias("position_start"),
-        F.coalesce(F.transform("a", lambda x: F.struct(x["start"].alias("start"), x["stop"].alias("stop"))), F.array().cast("array<struct<start:bigint,stop:bigint>>")).alias("attends"),
-        "loss_start",
-        "loss_stop",
+        F.lag("node_id").over(along).alias("parent_id"),
+        F.first("node_id").over(along).alias("tree_id"),
+        F.col("at").alias("depth"),
+        F.coalesce(F.sum(F.col("stop") - F.col("start")).over(above), F.lit(0)).alias("position_start"),
+        F.collect_list(F.struct("start", "stop")).over(above).alias("attends"),
     )
+    known = seen.groupBy("node_id").agg(*[F.first(x).alias(x) for x in seen.columns[1:]])
+    out = placed.join(known, "node_id").select("node_id", "parent_id", "tree_id", "depth", "role", "formatted", "n_tokens", "stream_start", "position_start", "attends", "loss_start", "loss_stop")
     ids = F.sequence(F.col("position_start"), F.col("position_start") + F.col("n_tokens") - 1)
-    return ChatForest(out.withColumn("position_ids", ids), rows.select(F.col("conv").alias(conv), F.col("node_id").alias("node_ids")))
-
-
-def each_path(rows: DataFrame) -> DataFrame:
-    """(node_id, above, level) for each node and ancestor, once."""
-    pairs = rows.select(F.posexplode("node_id").alias("depth", "node_id"), F.col("node_id").alias("ids"))
-    pairs = pairs.dropDuplicates(["node_id"]).where(F.col("depth") > 0)
-    return pairs.select("node_id", F.posexplode(F.slice("ids", F.lit(1), F.col("depth"))).alias("level", "above"))
+    return ChatForest(out.withColumn("position_ids", ids), rows.select(F.col("conv").alias(conv), F.col("node_id").alias("node_ids")), spans)
 
 
 def _escaped(column: str) -> F.Column:
@@ -180,11 +172,10 @@ def read_back(forest: ChatForest, conv: str = "conv_id") -> DataFrame:
     """What each conversation says, read from the emitted stream: turn count, digests of turns and of loss text, lengths, and whether
     the position ids of its tokens run from 0 without a gap.
 
-    A conversation is what its last node attends to, and that node: its ancestors' intervals of the stream, in stream order. The stream is read
-    where these intervals start; ids of the nodes in between are not asked for."""
-    last = forest.members.select(conv, F.element_at("node_ids", -1).alias("node_id"))
-    ends = forest.nodes.select("node_id", F.array_append("attends", F.struct(F.col("stream_start").alias("start"), (F.col("stream_start") + F.col("n_tokens")).alias("stop"))).alias("spans"))
-    asked = last.join(ends, "node_id").select(conv, F.explode("spans").alias("x")).select(conv, F.col("x.start").alias("stream_start"), F.col("x.stop").alias("stop"))
+    A conversation is what its last node attends to, and that node: the intervals of its path, in stream order. The stream is read
+    where these intervals start; a conversation costs a row a turn."""
+    steps = forest.members.select(conv, F.explode("node_ids").alias("node_id"))
+    asked = steps.join(forest.spans, "node_id").select(conv, F.col("start").alias("stream_start"), "stop")
     ids = F.col("position_ids")
     emitted = forest.nodes.select("stream_start", "formatted", "loss_start", "loss_stop", "n_tokens", F.get(ids, F.lit(0)).alias("first"), F.get(ids, F.size(ids) - 1).alias("last"), (F.size(ids) == F.col("n_tokens")).alias("each"))
     found = asked.join(emitted, "stream_start").where(F.col("stop") == F.col("stream_start") + F.col("n_tokens"))
