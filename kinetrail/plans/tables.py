@@ -272,10 +272,10 @@ def worker_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quantile_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sketched quantiles, and whether each lies between the exact ones two rank errors to either side."""
+    """Sketched quantiles, and whether each lies between the exact ones a thousandth of the ranks to either side."""
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", F.array("l_extendedprice", "l_quantity").alias("v"))
     sketch = stats.column_stats(lines, ["l_returnflag"], "v", approximate=True)
-    exact = lines.select("l_returnflag", F.posexplode("v").alias("dim", "x")).groupBy("l_returnflag", "dim").agg(F.percentile("x", F.array(*[F.lit(q) for q in (0.0098, 0.0102, 0.9898, 0.9902)])).alias("e"))
+    exact = lines.select("l_returnflag", F.posexplode("v").alias("dim", "x")).groupBy("l_returnflag", "dim").agg(F.percentile("x", F.array(*[F.lit(q) for q in (0.009, 0.011, 0.989, 0.991)])).alias("e"))
     inside = lambda q, i: F.col(q).between(F.floor(F.get("e", F.lit(i))), F.ceil(F.get("e", F.lit(i + 1))))
     return sketch.join(exact, ["l_returnflag", "dim"]).select("l_returnflag", "dim", "count", inside("q01", 0).alias("q01_near"), inside("q99", 2).alias("q99_near"))
 
