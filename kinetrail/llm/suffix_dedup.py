@@ -13,7 +13,11 @@ The suffixes are sorted in shards. Equal strings must meet in one shard, so shar
 3. One copy of each different content of the remaining anchors goes to the anchor's shard. There ``external_sais`` sorts all
    suffixes of the shard by induction, with queues on disk and common prefixes carried along; neighbours that share
    ``length`` bytes mark their strings.
-4. Marks return to all stretches by (anchor, content), are united by text, and the covered bytes are cut out.
+4. An anchor whose contents exceed ``anchor_bytes`` (a phrase in many surroundings) is divided before it is dealt: a string holds its
+   anchor at one offset, and all strings whose offset lies in a range share the bytes about the anchor that each of them covers.
+   Halving the range widens these bytes, from the anchor itself up to the whole string, so equal strings stay together while others part.
+   Ranges are halved where a group is still too large; a range of one offset holds a single string, so every group ends up bounded.
+5. Marks return to all stretches by (anchor, content), are united by text, and the covered bytes are cut out.
 
 Two strings of one shard never meet by chance: marks come from compared bytes. Content and anchor keys are 64 bits each; a text
 is known by two 64-bit hashes, of its key and of itself; a null key is a key like others, so its texts lose and give as any do. Null texts are empty. Texts shorter than ``length`` lose nothing. Repeated rows are
@@ -23,6 +27,7 @@ copies of each other. Other columns pass through; the made columns win over inpu
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,6 +49,8 @@ class SubstringPolicy:
     gram: int = 40
     #: bytes of stretches in a shard, about
     shard_bytes: int = 2 << 20
+    #: bytes of different stretches of one anchor (or part of an anchor) beyond which it is divided
+    anchor_bytes: int = 1 << 20
     #: ids of texts up to which a filter is broadcast
     broadcast_ids: int = 1_500_000
     #: bytes of a queue run in memory before it goes to disk
@@ -144,11 +151,98 @@ def _sorted_shard(policy: SubstringPolicy):
     return run
 
 
+_PIECE = "a bigint, c bigint, at bigint, p bigint, low bigint, high bigint, k bigint, d bigint, content binary"
+
+
+def _key(head: bytes, body: bytes) -> int:
+    return struct.unpack("<q", hashlib.blake2b(head + body, digest_size=8).digest())[0]
+
+
+def anchor_place(content: bytes, anchor: int, length: int, gram: int) -> int:
+    """Where the anchor of a stretch stands in it: its first place that all strings of the stretch cover."""
+    grams = c.gram_hashes(c.SpanHasher(np.frombuffer(content, np.uint8)), gram).view(np.int64)
+    first = len(content) - length
+    return first + int(np.flatnonzero(grams[first:] == anchor)[0])
+
+
+def halves(content: bytes, p: int, low: int, high: int, length: int) -> Iterator[tuple[int, int, int, int, int, int, bytes]]:
+    """The parts of a stretch whose strings hold the anchor (at p) at an offset in the lower and in the upper half of [low, high].
+
+    (place in content, place of the anchor, low, high, group, key in the group, bytes); equal strings come into equal groups."""
+    middle = (low + high) // 2
+    for below, above in ((low, middle), (middle + 1, high)):
+        first, last = max(0, p - above), min(len(content) - length, p - below)
+        if below > above or first > last:
+            continue
+        part, place = content[first : last + length], p - first
+        shared = part[place - below : place - above + length]  # what every string of the range covers
+        yield first, place, below, above, _key(struct.pack("<qq", below, above), shared), _key(struct.pack("<q", place), part), part
+
+
+def _pieces(policy: SubstringPolicy, names: list[str]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            for i in range(0, len(rows), 4096):
+                made = []
+                for row in rows[i : i + 4096]:
+                    p = row["p"]
+                    if p is None:
+                        p = anchor_place(row["content"], row["a"], policy.length, policy.gram)
+                    for place, *rest in halves(row["content"], p, row["low"], row["high"], policy.length):
+                        made.append((row["a"], row["c"], row["at"] + place, *rest))
+                kinds = [pa.int64()] * 8 + [pa.binary()]
+                columns = zip(*made, strict=True) if made else [()] * len(names)
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names=names)
+
+    return run
+
+
+def divided(contents: DataFrame, policy: SubstringPolicy) -> Iterator[tuple[DataFrame, DataFrame]]:
+    """Divides the contents (a, c, content) of over-full anchors until every group is within ``anchor_bytes``.
+
+    Each level gives marks (a, c, spans) of the pieces that occur twice as a whole, and the groups that are now small enough, as
+    rows (k, a, c, at, content, times). A content goes on by one of its copies, whose marks stand for it where it occurs once."""
+    names = [x.split()[0] for x in _PIECE.split(", ")]
+    state = contents.select("a", "c", "content", *[F.lit(x).cast("bigint").alias(n) for n, x in (("at", 0), ("p", None), ("low", 0), ("high", policy.length - policy.gram))])
+    while True:
+        pieces = c.staged(state.select("a", "c", "at", "p", "low", "high", "content").mapInArrow(_pieces(policy, names), _PIECE), "pieces")
+        one = pieces.groupBy("k", "d").agg(F.count(F.lit(1)).alias("times"), F.first(F.struct("a", "c", "at", "p", "low", "high", "content")).alias("one"))
+        one = c.staged(one.select("k", "d", "times", "one.*"), "kinds")
+        groups = one.groupBy("k").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("all"), F.sum(F.length("content")).alias("bytes")).where("all > 1")
+        one = one.join(groups, "k")
+        whole = pieces.join(one.where("times > 1").select("k", "d"), ["k", "d"])
+        span = F.array(F.struct(F.col("at").alias("start"), (F.col("at") + F.length("content")).alias("stop"))).cast(_SPANS)
+        small = one.where((F.col("kinds") > 1) & (F.col("bytes") <= policy.anchor_bytes)).select("k", "a", "c", "at", "content", "times")
+        yield whole.select("a", "c", span.alias("spans")), small
+        state = one.where((F.col("kinds") > 1) & (F.col("bytes") > policy.anchor_bytes))
+        if state.isEmpty():
+            return
+
+
 def _only(rows: DataFrame, ids: DataFrame, keys: list[str], limit: int, count: int, kind: str) -> DataFrame:
     """rows with (or without) a key among ids; a filter of counted size is broadcast so that other rows stay where they are."""
     return rows.join(F.broadcast(ids) if count <= limit else ids, keys, kind)
 
 
+def _shard(key: str, total: int, policy: SubstringPolicy):
+    return F.pmod(F.xxhash64(key), F.lit(max(1, -(-total // policy.shard_bytes)))).alias("shard")
+
+
+def _contents(source: DataFrame, kinds: DataFrame, total: int, policy: SubstringPolicy) -> DataFrame:
+    """(shard, a, c, content): the bytes of one place of each content."""
+    wanted = kinds.select("one.id", "one.h", F.struct(_shard("a", total, policy), "a", "c", "one.start", "one.n").alias("w"))
+    wanted = c.staged(wanted.groupBy("id", "h").agg(F.collect_list("w").alias("wanted")), "wanted")
+    texts = _only(source.where(F.col("text") != ""), wanted.select("id", "h"), ["id", "h"], policy.broadcast_ids, wanted.count(), "left_semi")
+    found = texts.join(wanted, ["id", "h"]).mapInArrow(_cut_contents, "shard bigint, a bigint, c bigint, content binary")
+    # a repeated row would hand its contents in twice
+    return found.groupBy("shard", "a", "c").agg(F.first("content").alias("content")) if _repeats(source) else found
+
+
+def _sorted(contents: DataFrame, policy: SubstringPolicy) -> DataFrame:
+    return contents.groupBy("shard").applyInArrow(_sorted_shard(policy), f"a bigint, c bigint, spans {_SPANS}")
+
+
 def covered_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", policy: SubstringPolicy | None = None) -> DataFrame:
     """(id, h, spans): the covered runs of each text that has any, possibly overlapping; id and h are xxhash64 of key and text."""
     policy = policy or SubstringPolicy()
@@ -156,23 +250,26 @@ def covered_spans(docs: DataFrame, text: str = "text", key: str = "doc_id", poli
     schema = T.StructType([source.schema["id"], *(T.StructField(x, T.LongType()) for x in ("h", "start", "n", "a", "c"))])
     rows = c.staged(source.mapInArrow(_stretch_rows(policy, schema.names), schema), "stretches")
     kinds = rows.groupBy("a", "c").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct("id", "h", "start", "n")).alias("one"))
-    several = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("all")).where("all > 1")
-    kinds = c.staged(kinds.join(several, "a").select("a", "c", "times", "one", "kinds"), "contents")
-    whole = kinds.where("times > 1").select("a", "c", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("one.n").alias("stop"))).cast(_SPANS).alias("spans"))
-    total = kinds.where("kinds > 1").agg(F.sum("one.n")).first()[0] or 0
-    marks = whole
+    several = kinds.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("times").alias("all"), F.sum("one.n").alias("bytes")).where("all > 1")
+    kinds = c.staged(kinds.join(several, "a").select("a", "c", "times", "one", "kinds", "bytes"), "contents")
+    marks = kinds.where("times > 1").select("a", "c", F.array(F.struct(F.lit(0).cast("bigint").alias("start"), F.col("one.n").alias("stop"))).cast(_SPANS).alias("spans"))
+    crowded = F.col("bytes") > policy.anchor_bytes
+    total, over = kinds.where("kinds > 1").agg(F.sum(F.when(~crowded, F.col("one.n"))), F.sum(F.when(crowded, F.col("one.n")))).first()
     if total:
-        shards = max(1, -(-total // policy.shard_bytes))
-        wanted = kinds.where("kinds > 1").select("one.id", "one.h", F.struct(F.pmod(F.xxhash64("a"), F.lit(shards)).alias("shard"), "a", "c", "one.start", "one.n").alias("w"))
-        wanted = c.staged(wanted.groupBy("id", "h").agg(F.collect_list("w").alias("wanted")), "wanted")
-        ids = wanted.select("id", "h")
-        # a repeated row would hand its contents in twice
-        texts = _only(source.where(F.col("text") != ""), ids, ["id", "h"], policy.broadcast_ids, wanted.count(), "left_semi")
-        contents = texts.join(wanted, ["id", "h"]).mapInArrow(_cut_contents, "shard bigint, a bigint, c bigint, content binary")
-        contents = contents.groupBy("shard", "a", "c").agg(F.first("content").alias("content")) if _repeats(source) else contents
-        sorted_ = contents.groupBy("shard").applyInArrow(_sorted_shard(policy), f"a bigint, c bigint, spans {_SPANS}")
-        partly = sorted_.join(kinds.where("times > 1").select("a", "c"), ["a", "c"], "left_anti")
-        marks = whole.unionByName(c.staged(partly, "marks"))
+        contents = _contents(source, kinds.where("kinds > 1").where(~crowded), total, policy)
+        partly = _sorted(contents, policy).join(kinds.where("times > 1").select("a", "c"), ["a", "c"], "left_anti")
+        marks = marks.unionByName(c.staged(partly, "marks"))
+    if over:
+        contents = c.staged(_contents(source, kinds.where("kinds > 1").where(crowded), over, policy).select("a", "c", "content"), "crowded")
+        for whole, small in divided(contents, policy):
+            small = c.staged(small.withColumn("no", F.monotonically_increasing_id()), "groups")
+            size = small.agg(F.sum(F.length("content"))).first()[0]
+            marks = marks.unionByName(whole)
+            if size:
+                spans = _sorted(small.select(_shard("k", size, policy), F.col("k").alias("a"), F.col("no").alias("c"), "content"), policy)
+                found = spans.select(F.col("c").alias("no"), "spans").join(small.where("times = 1").select("no", "a", "c", "at"), "no")
+                moved = F.transform("spans", lambda x: F.struct((x["start"] + F.col("at")).alias("start"), (x["stop"] + F.col("at")).alias("stop")))
+                marks = marks.unionByName(c.staged(found.select("a", "c", moved.cast(_SPANS).alias("spans")), "marks"))
     placed = rows.join(marks, ["a", "c"]).select("id", "h", "start", F.explode("spans").alias("x")).select("id", "h", (F.col("start") + F.col("x.start")).alias("start"), (F.col("start") + F.col("x.stop")).alias("stop"))
     return placed.groupBy("id", "h").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
 

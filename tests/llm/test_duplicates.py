@@ -101,7 +101,7 @@ def test_repeated_substrings(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_spans string")
     want = plain_removal([(t or "").encode() for t in texts], 200)
     for limit in (10, 100_000):
-        policy = suffix_dedup.SubstringPolicy(shard_bytes=4000, broadcast_ids=limit, run_memory=1 << 14)
+        policy = suffix_dedup.SubstringPolicy(shard_bytes=4000, anchor_bytes=700, broadcast_ids=limit, run_memory=1 << 14)
         got = suffix_dedup.remove_repeats(docs, digests=True, policy=policy).collect()
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((rows[i][0], *want[i]) for i in range(len(rows)))
     whole = suffix_dedup.remove_repeats(docs).collect()
@@ -109,6 +109,60 @@ def test_repeated_substrings(spark):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_anchors_with_many_surroundings(spark):
+    """A phrase of less than 200 bytes in many surroundings is one anchor; its parts come out bounded and lose no repeat."""
+    random.seed(31)
+
+    def noise(n):
+        return "".join(random.choice("abcdefghijklmnop ") for _ in range(n))
+
+    texts = []
+    for n in (45, 110, 199):
+        phrase = noise(n)
+        texts += [noise(200) + phrase + noise(200) for _ in range(40)]
+        texts += [noise(150) + x[100 + k : 230 + n + k] + noise(150) for k, x in enumerate(texts[-12:])]
+        texts += [texts[-1][20:]] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(0, texts[0])], "doc_id long, text string")
+    want = plain_removal([x.encode() for x in [*texts, texts[0]]], 200)
+    policy = suffix_dedup.SubstringPolicy(shard_bytes=8000, anchor_bytes=4000)
+    got = suffix_dedup.remove_repeats(docs, digests=True, policy=policy).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((i, *w) for i, w in zip([*range(len(texts)), 0], want))
+
+    rows = []
+    for i, text in enumerate(texts):
+        buf = np.frombuffer(text.encode(), np.uint8)
+        _, begin, stop, anchor, content = suffix_dedup.stretches(buf, np.array([0, len(buf)]), 200, 40)
+        rows += [(int(a), int(k), bytes(buf[x:y])) for x, y, a, k in zip(begin, stop, anchor.view(np.int64), content.view(np.int64))]
+    hot = Counter(a for a, _, _ in rows).most_common(1)[0][0]
+    crowd = {(a, k): x for a, k, x in rows if a == hot}
+    assert sum(map(len, crowd.values())) > policy.anchor_bytes
+    contents = spark.createDataFrame([(*key, x) for key, x in crowd.items()], "a long, c long, content binary")
+    levels = 0
+    for _, small in suffix_dedup.divided(contents, policy):
+        levels += 1
+        sizes = Counter()
+        for r in small.collect():
+            sizes[r.k] += len(r.content)
+            assert bytes(r.content) == crowd[r.a, r.c][r.at : r.at + len(r.content)]
+        assert all(x <= policy.anchor_bytes for x in sizes.values())
+    assert 1 <= levels <= 8
+
+
+@pytest.mark.parametrize("low, high", [(0, 160), (0, 80), (81, 160), (41, 80), (7, 8), (9, 9)])
+def test_equal_strings_share_a_group(low, high):
+    random.seed(low)
+    body = bytes(random.choice(b"abcdefgh") for _ in range(350))
+    other = bytes(random.choice(b"ij") for _ in range(30)) + body[30:]
+
+    def groups(content):
+        return {part[j : j + 200]: group for _, _, _, _, group, _, part in suffix_dedup.halves(content, 150, low, high, 200) for j in range(len(part) - 199)}
+
+    one, two = groups(body), groups(other)
+    inside = {body[i : i + 200] for i in range(30, 151) if low <= 150 - i <= high}
+    assert inside <= set(one) and inside == set(one) & set(two)
+    assert all(one[x] == two[x] for x in inside)
+
+
 def test_repeats_in_rows_without_id(spark):
     """Rows with a null id lose repeated strings and are the other place of strings in rows with an id."""
     random.seed(21)
