@@ -24,10 +24,12 @@ _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; where that is unset (tests on one machine) a new local one."""
+    """The folder in spark.checkpoint.dir; where that is unset a new local one on a single machine, and an error on a cluster."""
     context = spark.sparkContext
-    there = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    there = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not there:
+        if context.master != "local" and not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         there = tempfile.mkdtemp(prefix="kinetrail-")
         context.setCheckpointDir(there)
     return there.rstrip("/")

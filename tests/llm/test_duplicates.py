@@ -8,7 +8,7 @@ from pathlib import Path
 import numpy as np
 import pytest
 
-from kinetrail.llm import external_sais, graph, minhash_dedup, suffix_dedup
+from kinetrail.llm import common, external_sais, graph, minhash_dedup, suffix_dedup
 
 TABLES = Path("/root/testdata/sf0.01")
 
@@ -177,6 +177,29 @@ def test_repeats_in_rows_without_id(spark):
         assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == Counter((i, *w) for i, w in zip(ids, want))
 
 
+def test_no_local_folder_on_a_cluster():
+    class Named:
+        sparkContext = property(lambda self: self)
+        conf = property(lambda self: self)
+        master = "spark://host:7077"
+        there = None
+
+        def get(self, name, default=None):
+            return self.there
+
+        def getConf(self):
+            return self
+
+        def getCheckpointDir(self):
+            return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        common.shared_dir(Named())
+    named = Named()
+    named.there = "hdfs://all/shared/"
+    assert common.shared_dir(named) == "hdfs://all/shared"
+
+
 def shingle_set(text):
     words = (text or "").encode().split()
     if not words:
