@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,19 +32,58 @@ def masked_moments(rows: DataFrame, keys: list[str], vector: str, mask: str | No
     )
 
 
-def column_stats(rows: DataFrame, keys: list[str], vector: str, approximate: bool | None = None, exact_rows: int = 10_000_000) -> DataFrame:
-    """(keys, dim, count, mean, std, min, max, q01, q99). Quantiles are exact for up to ``exact_rows`` counted rows, beyond from a sketch with a rank error
-    of 1 in 10,000, which merges partial results and holds no group in memory; ``approximate`` says which without counting."""
-    if approximate is None:
-        approximate = rows.count() > exact_rows
+def column_stats(rows: DataFrame, keys: list[str], vector: str, approximate: bool | None = None, exact_rows: int = 100_000) -> DataFrame:
+    """(keys, dim, count, mean, std, min, max, q01, q99). Quantiles are exact at every size and no task holds all values of a group, see ``quantiles``;
+    ``exact_rows`` is the size of a group up to which its values are ranked whole. With ``approximate`` they come from a sketch with a rank error of
+    1 in 10,000; where it is False, from one aggregate that holds a group's distinct values."""
     each = rows.select(*keys, F.posexplode(vector).alias("dim", "value")).withColumn("value", F.col("value").cast("double")).where(finite(F.col("value")))
-    q = F.percentile_approx("value", [0.01, 0.99], 10_000) if approximate else F.percentile("value", F.array(F.lit(0.01), F.lit(0.99)))
-    out = each.groupBy(*keys, "dim").agg(
+    by, at = [*keys, "dim"], [0.01, 0.99]
+    near = [min(max(x + d, 0.0), 1.0) for x in at for d in (-SLACK, SLACK)]
+    q = F.percentile_approx("value", at, 10_000) if approximate else F.percentile("value", F.array(*[F.lit(x) for x in at])) if approximate is False else F.percentile_approx("value", near, 10_000)
+    out = each.groupBy(*by).agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"), q.alias("q")
     )
+    if approximate is None:
+        exact = quantiles(each, by, "value", at, out.where(F.col("count") > exact_rows).select(*by, F.col("q").alias("near")))
+        exact = exact.select(*[F.col(k).alias(f"__{k}__") for k in by], "q")
+        out = out.drop("q").join(exact, _same(by))
     return out.select(*keys, "dim", "count", "mean", "std", "min", "max", F.get("q", F.lit(0)).alias("q01"), F.get("q", F.lit(1)).alias("q99"))
 
 
+#: how far from a quantile its bounds are asked for, as a share of the ranks: thrice the sketch's error of 1 in 10,000
+SLACK = 3e-4
+
+
+def _same(keys: list[str]) -> Column:
+    """The join of keys with ``__keys__``, null with null."""
+    both = [F.col(k).eqNullSafe(F.col(f"__{k}__")) for k in keys]
+    return reduce(lambda x, y: x & y, both)
+
+
+def quantiles(each: DataFrame, keys: list[str], value: str, at: list[float], bounds: DataFrame) -> DataFrame:
+    """(keys, q): exact quantiles with linear interpolation, in the ascending order of ``at``.
+
+    bounds: (keys, near) for large groups, a lower and an upper value for each quantile. Of these groups only the values between bounds go on, one row for
+    each distinct value; all others are counted where they lie. Groups without bounds go on whole. There is a group with bounds for so many values that
+    bounds are small enough to be sent to all tasks. Bounds that miss a rank stop the query."""
+    marks = F.broadcast(bounds.select(*[F.col(k).alias(f"__{k}__") for k in keys], "near"))
+    x, edge = F.col(value), lambda i: F.get("near", F.lit(i))
+    inside = reduce(lambda a, b: a | b, [x.between(edge(2 * i), edge(2 * i + 1)) for i in range(len(at))])
+    past = reduce(lambda a, b: a + b, [(x > edge(2 * i + 1)).cast("int") for i in range(len(at))])
+    cells = each.join(marks, _same(keys), "left").select(*keys, F.coalesce(past, F.lit(0)).alias("past"), F.when(F.col("near").isNull() | inside, x).alias("x"))
+    cells = cells.groupBy(*keys, "past", "x").agg(F.count(F.lit(1)).alias("c"))
+    # values past equally many upper bounds: first those below the next lower bound, which have no x, then those inside
+    order = Window.partitionBy(*keys).orderBy("past", F.col("x").asc_nulls_first())
+    ranked = cells.withColumn("upto", F.sum("c").over(order.rowsBetween(Window.unboundedPreceding, 0))).withColumn("n", F.sum("c").over(Window.partitionBy(*keys)))
+    place = lambda q: F.lit(q) * (F.col("n") - 1)
+    holds = lambda rank: (rank >= F.col("upto") - F.col("c")) & (rank < F.col("upto"))
+    found = [F.max(F.when(holds(f(place(q))), F.col("x"))).alias(f"{name}{i}") for i, q in enumerate(at) for name, f in (("low", F.floor), ("high", F.ceil))]
+    picked = ranked.groupBy(*keys).agg(F.max("n").alias("n"), *found)
+    known = lambda c: F.coalesce(F.col(c), F.raise_error(F.lit("quantiles: bounds miss a rank")).cast("double"))
+    part = lambda q: place(q) - F.floor(place(q))
+    return picked.select(*keys, F.array(*[known(f"low{i}") * (1 - part(q)) + known(f"high{i}") * part(q) for i, q in enumerate(at)]).alias("q"))
+
+
 def relative_pairs(frames: DataFrame, horizon: int, keys: list[str], action: str, state: str, index: str = "idx", length: str = "n") -> DataFrame:
     """action[t + o] - state[t] for o in [0, horizon) and t < n - horizon, pooled: (keys, t, o, value). An equi join on shifted rows."""
     base = frames.where(F.col(index) < F.col(length) - horizon).select(*keys, F.col(index).alias("t"), F.col(state).alias("s"))
