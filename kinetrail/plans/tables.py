@@ -36,9 +36,9 @@ def compact_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interval_coalesce(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Intervals of event days: [day, day + 1 + n) where n comes from the properties, coalesced by user and type."""
     events = table(spark, sf_dir, "events")
-    day = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 86_400_000_000).cast("bigint")
-    n = F.coalesce(F.get_json_object("props", "$.k").cast("bigint"), F.lit(0).cast("bigint"))
-    spans = events.select("user_id", "event_type", day.alias("start"), (day + 1 + F.pmod(n, F.lit(3))).alias("stop"))
+    day = F.expr("unix_micros(CAST(ts AS timestamp)) DIV 86400000000")  # towards zero before 1970, and n keeps its sign, as in the SQL
+    n = F.coalesce(F.round(F.get_json_object("props", "$.k").cast("decimal(38,10)")).cast("bigint"), F.lit(0).cast("bigint"))
+    spans = events.select("user_id", "event_type", day.alias("start"), (day + 1 + n % 3).alias("stop"))
     return iv.coalesce(spans, ["user_id", "event_type"])
 
 

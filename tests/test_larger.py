@@ -82,3 +82,18 @@ def test_relative_action_stats_beyond_the_sketch(compared, monkeypatch):
     kept = stats.column_stats
     monkeypatch.setattr(stats, "column_stats", lambda *a, **b: kept(*a, **b, exact_rows=10_000))
     compared("relative_action_stats", "SELECT i AS event_id, TIMESTAMP '2024-01-01' + INTERVAL (i * 7) SECOND AS ts, i % 45 AS user_id, 'view' AS event_type, round((i * 7919 % 100003) ** 1.3 / 1000, 2) AS value, NULL AS props FROM range(0, 30000) r(i)")
+
+
+def test_interval_coalesce_of_odd_events(compared):
+    """Days before 1970, negative, fractional and missing numbers, users and types without a name, repeated spans."""
+    kinds = """['{"k": 5}', '{"k": -4}', '{"k": 2.5}', '{"k": null}', '{"j": 1}', NULL, '{"k": "7"}', '{"k": -2}', '{"k": -2.5}', '{"k": 1e2}'][i % 10 + 1]"""
+    compared("interval_coalesce", f"SELECT i AS event_id, CASE WHEN i % 41 = 0 THEN NULL ELSE TIMESTAMP '1969-12-20' + INTERVAL (i * 5 % 600) HOUR END AS ts, CASE WHEN i % 7 < 6 THEN i % 7 END AS user_id, CASE WHEN i % 3 < 2 THEN 'view' END AS event_type, 0.0 AS value, {kinds} AS props FROM range(0, 600) r(i)")
+
+
+def test_interval_coalesce_of_repeated_spans(spark):
+    """Copies of a span that opens a group stay in it: no interval of the result touches another one."""
+    from kinetrail.operators import intervals as iv
+
+    rows = spark.createDataFrame([(k, a, a + 1 + a % 3) for k in range(40) for a in range(0, 400, 5) for _ in range(6)], "k int, start bigint, stop bigint").repartition(5)
+    got = iv.coalesce(rows, ["k"]).collect()
+    assert Counter((r.k, r.start, r.stop) for r in got) == Counter((k, a, a + 1 + a % 3) for k in range(40) for a in range(0, 400, 5))
